@@ -25,6 +25,12 @@ def tokenizer_path(name: str) -> str:
         return os.path.join("/opt/tokenizers", name)
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import link_documents
+
+    return link_documents(_documents(spark, sf_dir))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
 
@@ -69,6 +75,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_ngram_join": op2_ngram_join,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
