@@ -68,6 +68,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(_documents(spark, sf_dir))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeats import remove_repeats
+
+    return remove_repeats(_documents(spark, sf_dir))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .language_id import identify
 
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontamination": op6_decontamination,
     "op7_mixing": op7_mixing,
     "op8_sharding": op8_sharding,
+    "op9_repeats": op9_repeats,
     "op10_language_id": op10_language_id,
 }
 
