@@ -25,6 +25,12 @@ def tokenizer_path(name: str) -> str:
         return os.path.join("/opt/tokenizers", name)
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import search
+
+    return search(common.table(spark, sf_dir, "embeddings"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import link_documents
 
@@ -81,6 +87,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_multi_index": op1_multi_index,
     "op2_ngram_join": op2_ngram_join,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
