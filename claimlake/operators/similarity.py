@@ -148,19 +148,20 @@ def clusters(edges: DataFrame, vertices: DataFrame, checkpoint, threshold: float
     """
     strong = checkpoint(edges.where(F.col("score") >= threshold).select("i", "j", F.col("score").cast("double").alias("score")))
     comp = connected(strong, vertices, checkpoint)
-    sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    sized = checkpoint(comp.join(sizes, "component"))
+    sizes = comp.groupBy(F.col("component").alias("_c")).agg(F.count(F.lit(1)).alias("n"))
+    sized = checkpoint(comp.join(sizes, F.col("component") == F.col("_c")).select("id", "component", "n"))
     small = sized.where(F.col("n") <= most).select("id", F.col("component").alias("root"))
     big = sized.where(F.col("n") > most).select("id", "component")
-    inner = strong.join(big.withColumnRenamed("id", "i"), "i").select("component", "i", "j", "score")
+    home = big.select(F.col("id").alias("_i"), F.col("component").alias("_home"))
+    inner = checkpoint(strong.join(home, F.col("i") == F.col("_i")).select(F.col("_home").alias("home"), "i", "j", "score"))
 
     def merge(key, members: pd.DataFrame, links: pd.DataFrame) -> pd.DataFrame:
         roots = capped_merge(members["id"].tolist(), list(zip(links["score"], links["i"], links["j"])), most)
         return pd.DataFrame({"id": list(roots), "root": list(roots.values())})
 
     kind = dict(vertices.dtypes)["id"]
-    split = big.groupBy("component").cogroup(inner.groupBy("component")).applyInPandas(merge, f"id {kind}, root {kind}")
-    named = small.unionByName(split)
+    split = big.groupBy("component").cogroup(inner.groupBy("home")).applyInPandas(merge, f"id {kind}, root {kind}")
+    named = checkpoint(small.unionByName(split))
     return named.join(named.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")), "root")
 
 
