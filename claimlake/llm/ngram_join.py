@@ -52,7 +52,7 @@ THRESHOLD = 75
 BUCKET_ENTRIES, FLUSH_ENTRIES, HOT = 1_000_000, 1_500_000, 64
 HOT_DF = (1 << 31) - 1
 #: Leader rounds at most, and pairs for each class below which all are verified at once.
-ROUNDS, PAIRS_EACH = 12, 8
+ROUNDS, PAIRS_EACH = 12, 200
 
 LOW48 = np.uint64((1 << 48) - 1)
 
@@ -272,20 +272,22 @@ def _verified(pairs: DataFrame, active: DataFrame) -> DataFrame:
 
 
 def components(work: common.Workspace, edges: DataFrame, label: str) -> DataFrame:
-    """(v, root) of every vertex but the roots, by alternating large and small stars."""
+    """(v, root) of every vertex but the roots, by alternating large and small stars.
+
+    Each alternation is written once; its size and digest come from the same read.
+    """
     mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
     e = work.save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), f"{label}_0")
     seen, k = mark(e), 0
     while seen[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        large = work.save(large, f"{label}_{k}l")
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s")).select("s.u", "s.v").where("u > v").distinct()
         after = work.save(small, f"{label}_{k + 1}")
         now = mark(after)
-        work.drop(f"{label}_{k}l", f"{label}_{k}")
+        work.drop(f"{label}_{k}")
         e, k = after, k + 1
         if now == seen:
             break
@@ -306,7 +308,7 @@ def _connect(work: common.Workspace, active: DataFrame, postings: DataFrame) ->
         pairs_left = still.agg(F.sum((F.col("m").cast("double") * F.col("m") - F.col("sq")) / 2)).first()[0] or 0
         if not pairs_left:
             break
-        last = k == ROUNDS or idle > 1 or pairs_left <= max(20_000, PAIRS_EACH * classes)
+        last = k == ROUNDS or idle > 1 or pairs_left <= max(1_000_000, PAIRS_EACH * classes)
         if last:
             left = opened.select("token", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"))
             right = opened.select("token", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"))
