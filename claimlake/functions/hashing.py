@@ -14,6 +14,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import text as T
 
@@ -52,24 +53,24 @@ def call_id_of(system: str, user: str, model: str, schema, image_digests: list[s
     return hashlib.sha256(key.encode()).hexdigest()[:16]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def canonical(raw: pd.Series) -> pd.Series:
     """JSON text (any spelling) to the record spelling."""
     return raw.map(lambda x: None if x is None else record_json(json.loads(x)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def canonical_asset(raw: pd.Series) -> pd.Series:
     return raw.map(lambda x: None if x is None else asset_json(json.loads(x)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def sealed(raw: pd.Series) -> pd.Series:
     """content_sha256 of a record given as JSON text."""
     return raw.map(lambda x: None if x is None else seal_of(json.loads(x)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def sealed_asset(raw: pd.Series) -> pd.Series:
     return raw.map(lambda x: None if x is None else asset_seal_of(json.loads(x)))
 

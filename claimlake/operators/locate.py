@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructType
 from pyspark.sql.window import Window
 
 from ..functions import hashing as H
@@ -105,7 +106,7 @@ def _kept(text: str) -> list[tuple[int, str]]:
     return out
 
 
-@F.pandas_udf("start long, end long, source_bytes string")
+@F.pandas_udf(StructType().add("start", LongType()).add("end", LongType()).add("source_bytes", StringType()))
 def reflow_span(needle: pd.Series, text: pd.Series) -> pd.DataFrame:
     rows = []
     for n, t in zip(needle, text):

@@ -7,6 +7,7 @@ import html as _html
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 from ..functions import hashing as H
@@ -72,7 +73,7 @@ def text_problem(content: Column, text: Column) -> Column:
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape(raw: pd.Series) -> pd.Series:
     """Every HTML character reference."""
     return raw.map(lambda x: None if x is None else _html.unescape(x))

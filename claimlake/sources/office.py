@@ -10,6 +10,7 @@ from xml.etree import ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 HEADERS = ("From", "To", "Cc", "Date", "Subject")
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
@@ -103,6 +104,6 @@ def parse(path: str, content: bytes) -> str | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def rich_text(path: pd.Series, content: pd.Series) -> pd.Series:
     return pd.Series([None if c is None else parse(p, c) for p, c in zip(path, content)], dtype=object)
