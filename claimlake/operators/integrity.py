@@ -94,7 +94,9 @@ def seals(rel_json: dict[str, DataFrame]) -> list[DataFrame]:
 
 def evidence(rel: dict[str, DataFrame]) -> list[DataFrame]:
     """V7: every quote again: digest, text, asset, and place."""
-    e = rel["units"].select("unit_id", F.posexplode("evidence").alias("_k", "e")).select("unit_id", F.concat_ws("#", "unit_id", "_k").alias("_id"), "e.*")
+    e = rel["units"].select("unit_id", "source_id", F.posexplode("evidence").alias("_k", "e"))
+    own = [f.name for f in e.schema["e"].dataType.fields if f.name not in ("source_id", "unit_id")]
+    e = e.select("unit_id", "source_id", F.concat_ws("#", "unit_id", "_k").alias("_id"), *(F.col(f"e.{f}") for f in own))
     texts = rel["texts"].select("source_id", F.col("text").alias("_text"))
     e = e.join(texts, "source_id", "left")
     from_asset = F.coalesce(F.col("excerpt_source") == "asset", F.lit(False)) if "excerpt_source" in e.columns else F.lit(False)

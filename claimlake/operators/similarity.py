@@ -95,12 +95,12 @@ def match_candidates(docs: DataFrame, id_col: str, text_col: str, batch: list[st
     Two or fewer statements are one group. Ties go to the larger id; equal groups keep the first.
     """
     pairs = bm25_pairs(docs, id_col, text_col, batch)
-    near = pairs.select(*batch, F.col("i").alias("a"), F.col("j").alias("b"), "score").unionByName(pairs.select(*batch, F.col("j").alias("a"), F.col("i").alias("b"), "score")).where("score > 0")
-    rank = F.row_number().over(Window.partitionBy(*batch, "a").orderBy(F.desc("score"), F.desc("b")))
+    near = pairs.select(*batch, F.col("i").alias("_a"), F.col("j").alias("_b"), "score").unionByName(pairs.select(*batch, F.col("j").alias("_a"), F.col("i").alias("_b"), "score")).where("score > 0")
+    rank = F.row_number().over(Window.partitionBy(*batch, "_a").orderBy(F.desc("score"), F.desc("_b")))
     top = near.withColumn("_r", rank).where(F.col("_r") <= top_k - 1)
-    groups = top.groupBy(*batch, "a").agg(F.collect_set("b").alias("bs")).select(*batch, "a", F.array_sort(F.array_union(F.array("a"), "bs")).alias("ids"))
+    groups = top.groupBy(*batch, "_a").agg(F.collect_set("_b").alias("_bs")).select(*batch, "_a", F.array_sort(F.array_union(F.array("_a"), "_bs")).alias("ids"))
     small = docs.groupBy(*batch).agg(F.count(F.lit(1)).alias("_n"), F.array_sort(F.collect_list(id_col)).alias("ids")).where("_n <= 2")
-    first = F.row_number().over(Window.partitionBy(*batch, "ids").orderBy("a"))
+    first = F.row_number().over(Window.partitionBy(*batch, "ids").orderBy("_a"))
     big = docs.groupBy(*batch).agg(F.count(F.lit(1)).alias("_n")).where("_n > 2").select(*batch)
     kept = groups.join(big, batch, "left_semi").where(F.size("ids") > 1).withColumn("_f", first).where("_f = 1")
     return kept.select(*batch, "ids").unionByName(small.select(*batch, "ids"))
