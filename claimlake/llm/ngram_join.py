@@ -19,10 +19,11 @@ documents link when their Jaccard similarity is THRESHOLD percent or more.
    (an upper bound from counts between fixed probes of the hash space).
 
 Large groups of near copies would make pairs by the square. As links only matter
-for who is connected, each class first tries one leader a round, links are
-contracted, and lists within one component are closed. When few pairs between
-different components are left, all of them are verified: no link between
-different components is lost.
+for who is connected, classes are first compared in small blocks that share a
+sketch shingle (several rounds, one comparison each for a block of copies), and
+links are contracted. The exact step then reads prefix lists: those within one
+component are closed where they are sorted, and every remaining pair between
+different components that passes the filters is verified, so no link is lost.
 
 A shingle that more than HOT classes of one map flush share is listed beside the
 buckets, in rows salted by flush, and gets the top frequency everywhere, so no
@@ -49,10 +50,10 @@ from . import common, shingles
 
 THRESHOLD = 75
 #: Entries of a bucket aimed at, entries a map task packs at a time, and locally common shingles.
-BUCKET_ENTRIES, FLUSH_ENTRIES, HOT = 1_000_000, 1_500_000, 64
+BUCKET_ENTRIES, FLUSH_ENTRIES, HOT = 2_500_000, 1_500_000, 64
 HOT_DF = (1 << 31) - 1
-#: Leader rounds at most, and pairs for each class below which all are verified at once.
-ROUNDS, PAIRS_EACH = 12, 200
+#: Sketch rounds before the exact step, classes compared in one block, and edges one task may join up.
+ROUNDS, NEAR, SMALL_EDGES = 3, 1024, 200_000
 
 LOW48 = np.uint64((1 << 48) - 1)
 
@@ -70,20 +71,30 @@ def document_sets(docs: DataFrame) -> DataFrame:
 
 
 def _pack(classes, sizes, counts, hashes, marks=()) -> bytes:
-    """Entries of one bucket: each class with its shingles, then locally common shingles without classes."""
-    marks = np.asarray(marks, dtype=np.uint64)
-    return b"".join([np.array([len(classes), len(hashes), len(marks)], dtype="<u4").tobytes(), classes.astype("<u8").tobytes(), sizes.astype("<u4").tobytes(), counts.astype("<u4").tobytes(), (hashes & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), ((hashes >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2").tobytes(), marks.astype("<u8").tobytes()])
+    """Entries of one bucket: each class with its shingles, then locally common shingles without classes.
+
+    A class costs 11 bytes (digest, size up to 65534 or an escape, entries up to 254 or an escape), an entry 6.
+    """
+    marks, sizes, counts = np.asarray(marks, dtype=np.uint64), np.asarray(sizes), np.asarray(counts)
+    big, many = sizes >= 0xFFFF, counts >= 0xFF
+    return b"".join([
+        np.array([len(classes), len(hashes), len(marks), big.sum(), many.sum()], dtype="<u4").tobytes(), np.asarray(classes).astype("<u8").tobytes(),
+        np.where(big, 0xFFFF, sizes).astype("<u2").tobytes(), np.where(many, 0xFF, counts).astype("u1").tobytes(), sizes[big].astype("<u8").tobytes(), counts[many].astype("<u4").tobytes(),
+        (hashes & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), ((hashes >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2").tobytes(), marks.astype("<u8").tobytes(),
+    ])
 
 
 def _unpack(blob: bytes):
-    n, m, k = np.frombuffer(blob, dtype="<u4", count=3)
-    at = 12
+    n, m, k, big, many = np.frombuffer(blob, dtype="<u4", count=5).tolist()
+    at = 20
     out = []
-    for kind, size in (("<u8", n), ("<u4", n), ("<u4", n), ("<u4", m), ("<u2", m), ("<u8", k)):
+    for kind, size in (("<u8", n), ("<u2", n), ("u1", n), ("<u8", big), ("<u4", many), ("<u4", m), ("<u2", m), ("<u8", k)):
         part = np.frombuffer(blob, dtype=kind, count=size, offset=at)
         at += part.nbytes
         out.append(part)
-    classes, sizes, counts, low, high, marks = out
+    classes, small, few, large, lots, low, high, marks = out
+    sizes, counts = small.astype(np.uint32), few.astype(np.int64)
+    sizes[small == 0xFFFF], counts[few == 0xFF] = large, lots
     return np.repeat(classes, counts), np.repeat(sizes, counts), low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)), marks
 
 
@@ -219,16 +230,6 @@ def _active(shared: DataFrame) -> DataFrame:
     return shared.groupBy("home").applyInArrow(run, "cls long, n int, uniq int, tokens array<long>, dfs array<int>")
 
 
-def _postings(active: DataFrame) -> DataFrame:
-    """token, cls, n, pos of prefix shingles of two classes or more, one list for each set of members."""
-    flat = active.select("cls", "n", "uniq", F.posexplode(F.arrays_zip(F.slice("tokens", 1, F.size("dfs")).alias("t"), F.col("dfs").alias("df"))).alias("k", "e"))
-    rows = flat.select(F.col("e.t").alias("token"), F.col("e.df").alias("df"), "cls", "n", (F.col("uniq") + F.col("k")).alias("pos"))
-    mark = F.xxhash64("cls")
-    lists = rows.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(mark).alias("x"), F.sum(mark.bitwiseAND(F.lit(0x7FFFFFFF))).alias("s"), F.min("df").alias("df")).where("m > 1")
-    kept = lists.groupBy("m", "x", "s").agg(F.min(F.struct("df", "token")).alias("f")).select(F.col("f.token").alias("token"))
-    return rows.join(kept, "token", "left_semi").select("token", "cls", "n", "pos")
-
-
 def _may_link(n1, n2, p1, p2):
     """Length and positional filters of a pair at a shared shingle."""
     need = THRESHOLD * (n1 + n2)
@@ -277,9 +278,28 @@ def components(work: common.Workspace, edges: DataFrame, label: str) -> DataFram
     Each alternation is written once; its size and digest come from the same read.
     """
     mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+
+    def joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for batch in batches:
+            for u, v in zip(batch["u"].to_pylist(), batch["v"].to_pylist()):
+                a, b = find(u), find(v)
+                parent[max(a, b)] = min(a, b)
+        rows = [(x, find(x)) for x in list(parent)]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, r in rows if x != r], pa.int64()), pa.array([r for x, r in rows if x != r], pa.int64())], names=["v", "root"])
+
     e = work.save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), f"{label}_0")
     seen, k = mark(e), 0
-    while seen[0]:
+    if seen[0] <= SMALL_EDGES:  # a measured, fixed bound: one task joins them up
+        return work.save(e.coalesce(1).mapInArrow(joined_up, "v long, root long"), f"{label}_roots")
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
@@ -295,39 +315,113 @@ def components(work: common.Workspace, edges: DataFrame, label: str) -> DataFram
     return e.select(F.col("u").alias("v"), F.col("v").alias("root"))
 
 
-def _connect(work: common.Workspace, active: DataFrame, postings: DataFrame) -> DataFrame:
+def _near_links(active: DataFrame, comp: DataFrame, work: common.Workspace, k: int) -> DataFrame:
+    """(a, b) of some linked classes that share their k-th sketch shingle, compared in blocks.
+
+    The sketch shingle is the shared one with the smallest k-th hash, so near copies mostly have
+    the same. A shingle's classes are salted into blocks of about NEAR; a block compares each class
+    with the first of every group it has so far, so a block of copies costs one comparison each.
+    """
+    seed = F.lit(k)
+    sketch = F.array_min(F.transform("tokens", lambda t: F.struct(F.xxhash64(t, seed).alias("h"), t.alias("t"))))["t"]
+    keyed = active.select("cls", "n", "tokens", sketch.alias("_s"))
+    crowd = keyed.groupBy("_s").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select(F.col("_s").alias("_k"), F.ceil(F.col("_m") / NEAR).alias("_parts"))
+    dealt = keyed.join(crowd, F.col("_s") == F.col("_k")).withColumn("_part", F.pmod(F.xxhash64("cls", seed), F.col("_parts")))
+
+    def run(group: pa.Table) -> pa.Table:
+        n, cls = group["n"].to_numpy(), group["cls"].to_numpy()
+        sets = [np.sort(x.values.to_numpy()) for x in group["tokens"]]
+        order = np.lexsort((cls, n))
+        leaders: list[int] = []
+        links: list[tuple[int, int]] = []
+        for i in order.tolist():
+            for j in leaders:
+                total = int(n[i]) + int(n[j])
+                if 100 * min(n[i], n[j]) >= THRESHOLD * max(n[i], n[j]):
+                    same = common_count(sets[i], sets[j], -(-THRESHOLD * total // (100 + THRESHOLD)))
+                    if 100 * same >= THRESHOLD * (total - same):
+                        links.append((cls[i], cls[j]))
+                        break
+            else:
+                if len(leaders) < 32:  # later rounds and the exact step take what is left
+                    leaders.append(i)
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return dealt.groupBy("_s", "_part").applyInArrow(run, "a long, b long")
+
+
+def _open_entries(active: DataFrame, comp: DataFrame, buckets: int) -> DataFrame:
+    """(token, cls, n, pos, comp) of the prefix shingles that classes of several components share."""
+    shared = active.select("cls", "n", "uniq", F.slice("tokens", 1, F.size("dfs")).alias("p")).join(comp, "cls")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch["p"]
+            sizes = np.diff(lists.offsets.to_numpy())
+            tokens = lists.flatten().to_numpy()
+            if not len(tokens):
+                continue
+            owner = np.repeat(np.arange(len(batch)), sizes)
+            pos = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + batch["uniq"].to_numpy()[owner]
+            bucket = (shingles.mix(tokens.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.concatenate([[True], bucket[order][1:] != bucket[order][:-1]]))
+            cls, n, c = batch["cls"].to_numpy(), batch["n"].to_numpy(), batch["comp"].to_numpy()
+            rows, blobs = [], []
+            for a, b in zip(cuts, [*cuts[1:], len(order)]):
+                mine = order[a:b]
+                held, counts = np.unique(owner[mine], return_counts=True)
+                head = np.array([len(held), len(mine)], dtype="<u4").tobytes()
+                blobs.append(b"".join([head, cls[held].astype("<i8").tobytes(), c[held].astype("<i8").tobytes(), n[held].astype("<i4").tobytes(), counts.astype("<u4").tobytes(), tokens[mine].astype("<i8").tobytes(), pos[mine].astype("<i4").tobytes()]))
+                rows.append(bucket[order[a]])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+
+    def still_open(group: pa.Table) -> pa.Table:
+        parts = []
+        for x in group["blob"]:
+            blob = x.as_py()
+            k, m = np.frombuffer(blob, "<u4", 2).tolist()
+            at, got = 8, []
+            for kind, size in (("<i8", k), ("<i8", k), ("<i4", k), ("<u4", k), ("<i8", m), ("<i4", m)):
+                got.append(np.frombuffer(blob, kind, size, at))
+                at += got[-1].nbytes
+            cls, c, n, counts, tokens, pos = got
+            parts.append((tokens, np.repeat(cls, counts), np.repeat(n, counts), pos, np.repeat(c, counts)))
+        tokens, cls, n, pos, c = (np.concatenate([p[i] for p in parts]) for i in range(5))
+        order = np.argsort(tokens, kind="stable")
+        tokens, cls, n, pos, c = tokens[order], cls[order], n[order], pos[order], c[order]
+        cuts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        mixed = np.minimum.reduceat(c, cuts) != np.maximum.reduceat(c, cuts)
+        kept = np.repeat(mixed, np.diff(np.concatenate([cuts, [len(tokens)]])))
+        return pa.table({"token": pa.array(tokens[kept]), "cls": pa.array(cls[kept]), "n": pa.array(n[kept]), "pos": pa.array(pos[kept]), "comp": pa.array(c[kept])})
+
+    dealt = shared.select("cls", "n", "uniq", "p", "comp").mapInArrow(deal, "bucket int, blob binary")
+    return dealt.groupBy("bucket").applyInArrow(still_open, "token long, cls long, n int, pos int, comp long")
+
+
+def _relabelled(work: common.Workspace, comp: DataFrame, links: DataFrame, label: str) -> DataFrame:
+    """comp (cls, comp) after joining the components of linked classes."""
+    ends = links.join(comp.select(F.col("cls").alias("a"), F.col("comp").alias("ca")), "a").join(comp.select(F.col("cls").alias("b"), F.col("comp").alias("cb")), "b")
+    roots = components(work, ends.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")), label)
+    return work.save(comp.join(roots.withColumnRenamed("v", "comp"), "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp")), f"{label}_comp")
+
+
+def _connect(work: common.Workspace, active: DataFrame, buckets: int) -> DataFrame:
     """(cls, comp) of every active class."""
     comp = active.select("cls", F.col("cls").alias("comp"))
-    classes = active.count()
-    idle = 0
-    for k in range(ROUNDS + 1):
-        p = postings.join(comp, "cls")
-        by = p.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"))
-        still = by.groupBy("token").agg(F.count(F.lit(1)).alias("comps"), F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("sq")).where("comps > 1")
-        opened = work.save(p.join(still.select("token"), "token", "left_semi"), f"open{k}")
-        pairs_left = still.agg(F.sum((F.col("m").cast("double") * F.col("m") - F.col("sq")) / 2)).first()[0] or 0
-        if not pairs_left:
-            break
-        last = k == ROUNDS or idle > 1 or pairs_left <= max(1_000_000, PAIRS_EACH * classes)
-        if last:
-            left = opened.select("token", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"))
-            right = opened.select("token", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"))
-            found = left.join(right, "token").where((F.col("ca") < F.col("cb")) & _may_link(F.col("na"), F.col("nb"), F.col("pa"), F.col("pb")))
-            pairs = found.select("a", "b", "ca", "cb").distinct()
-        else:
-            one = opened.groupBy("token").agg(F.min_by(F.struct("cls", "n", "pos", "comp"), F.xxhash64("cls", F.lit(k))).alias("l"))
-            met = opened.join(one, "token").where((F.col("comp") != F.col("l.comp")) & _may_link(F.col("n"), F.col("l.n"), F.col("pos"), F.col("l.pos")))
-            votes = met.groupBy("cls", "comp", F.col("l.cls").alias("b"), F.col("l.comp").alias("cb")).agg(F.count(F.lit(1)).alias("c"))
-            best = votes.groupBy("cls", "comp").agg(F.max_by(F.struct("b", "cb"), F.struct("c", F.xxhash64("b", F.lit(k)))).alias("x"))
-            pairs = best.select(F.col("cls").alias("a"), F.col("x.b").alias("b"), F.col("comp").alias("ca"), F.col("x.cb").alias("cb"))
-        pairs = work.save(pairs, f"pairs{k}")
-        links = work.save(_verified(pairs, active).join(pairs, ["a", "b"]).select(F.col("ca").alias("a"), F.col("cb").alias("b")), f"links{k}")
-        roots = components(work, links, f"cc{k}")
-        comp = work.save(comp.join(roots.withColumnRenamed("v", "comp"), "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp")), f"comp{k}")
-        idle = idle + 1 if links.isEmpty() else 0
-        if last:
-            break
-    return comp
+    for k in range(ROUNDS):
+        comp = _relabelled(work, comp, work.save(_near_links(active, comp, work, k), f"near{k}"), f"cc{k}")
+    left = work.save(_open_entries(active, comp, buckets), "open")
+    # Lists with the same members give the same pairs: the first in rare-first order stands for all of them.
+    mark = F.xxhash64("cls")
+    lists = left.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(mark).alias("x"), F.sum(mark.bitwiseAND(F.lit(0x7FFFFFFF))).alias("s"), F.min("pos").alias("p"))
+    kept = lists.groupBy("m", "x", "s").agg(F.min(F.struct("p", "token")).alias("f")).select(F.col("f.token").alias("token"))
+    left = left.join(kept, "token", "left_semi")
+    one = left.select("token", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"))
+    two = left.select("token", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"))
+    met = one.join(two, "token").where((F.col("ca") < F.col("cb")) & _may_link(F.col("na"), F.col("nb"), F.col("pa"), F.col("pb")))
+    pairs = work.save(met.select("a", "b").distinct(), "pairs")
+    return _relabelled(work, comp, work.save(_verified(pairs, active), "links"), "last")
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -339,8 +433,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     buckets = int(min(65_535, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_ENTRIES))))
     active = work.save(_active(_shared(_entries(docs, buckets), buckets, buckets)), "active")
-    postings = work.save(_postings(active), "postings")
-    comp = _connect(work, active, postings)
+    comp = _connect(work, active, buckets)
     return _name(sets, comp)
 
 
