@@ -197,7 +197,10 @@ def _repeated(cut: DataFrame) -> DataFrame:
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("digest", "ascending"), ("start", "ascending")])
-        contents = [x.as_py() for x in group["content"]]
+        # Runs with the same bytes are sorted once: copies repeat whole, and stand in for one another.
+        place: dict[bytes, int] = {}
+        which = np.array([place.setdefault(x.as_py(), len(place)) for x in group["content"]], dtype=np.int64)
+        contents, copies = list(place), np.bincount(which)
         sizes = np.array([len(c) for c in contents], dtype=np.int64)
         data = np.frombuffer(b"".join(contents), dtype=np.uint8)
         begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -209,29 +212,39 @@ def _repeated(cut: DataFrame) -> DataFrame:
         following = np.concatenate([equal[1:], [False]])
         longest_previous, longest_next = np.zeros(len(starts), dtype=bool), np.zeros(len(starts), dtype=bool)
         longest_previous[order], longest_next[order] = equal, following  # reach SPAN or not
-        hit = longest_previous | longest_next
-        base = group["start"].to_numpy().astype(np.int64)
-        digests = group["digest"]
+        hit = longest_previous | longest_next | (copies > 1)[owner]
         new = np.concatenate([[True], owner[1:] != owner[:-1]])
         left = np.flatnonzero(hit & (new | ~np.concatenate([[False], hit[:-1]])))
         right = np.flatnonzero(hit & (np.concatenate([new[1:], [True]]) | ~np.concatenate([hit[1:], [False]])))
-        rows: list[tuple] = [(0, digests[int(owner[a])].as_py(), int(base[owner[a]] + inside[a]), int(base[owner[a]] + inside[b]), None) for a, b in zip(left, right)]
+        base, digests = group["start"].to_numpy().astype(np.int64), group["digest"].combine_chunks()
+        # Every run of the group takes the stretches of its bytes.
+        first = np.searchsorted(owner[left], np.arange(len(contents) + 1))
+        many = (first[1:] - first[:-1])[which]
+        run_of = np.repeat(np.arange(len(which)), many)
+        piece = np.arange(len(run_of)) - np.repeat(np.cumsum(many) - many, many) + first[:-1][which][run_of]
+        kind, at = [np.zeros(len(run_of), dtype=np.int32)], [run_of]
+        begins, ends = [base[run_of] + inside[left[piece]]], [base[run_of] + inside[right[piece]]]
+        keys: list[bytes | None] = [None] * len(run_of)
         blocks = group["blocks"].to_numpy()
         if (blocks > 1).any():
-            mine = (blocks > 1)[owner]
-            # One window of each stretch of equal ones stands for its block; it is compared with other blocks.
+            some = np.zeros(len(contents), dtype=np.int64)
+            some[which] = np.arange(len(which))
+            salted = np.zeros(len(contents), dtype=bool)
+            salted[which] = blocks > 1
             lead = np.ones(len(starts), dtype=bool)
             lead[order] = ~equal
-            alone = np.flatnonzero(mine & ~hit)
-            seen = np.flatnonzero(mine & hit & lead)
-            for i, kind in [*((i, 1) for i in alone), *((i, 2) for i in seen)]:
-                k = int(owner[i])
-                key = hashlib.blake2b(data[starts[i] : starts[i] + SPAN].tobytes(), digest_size=16).digest()
-                rows.append((kind, digests[k].as_py() if kind == 1 else None, int(base[k] + inside[i]), int(base[k] + inside[i]), key))
+            # A window alone in its block, or the first of equal ones, is compared with other blocks.
+            for k, places in ((1, np.flatnonzero(salted[owner] & ~hit)), (2, np.flatnonzero(salted[owner] & hit & lead))):
+                kind.append(np.full(len(places), k, dtype=np.int32))
+                at.append(some[owner[places]])
+                begins.append(base[some[owner[places]]] + inside[places])
+                ends.append(begins[-1])
+                keys += [hashlib.blake2b(data[x : x + SPAN].tobytes(), digest_size=16).digest() for x in starts[places].tolist()]
+        at = np.concatenate(at)
         return pa.table({
-            "kind": pa.array([r[0] for r in rows], pa.int32()), "digest": pa.array([r[1] for r in rows], pa.binary()), "start": pa.array([r[2] for r in rows], pa.int32()),
-            "stop": pa.array([r[3] for r in rows], pa.int32()), "key": pa.array([r[4] for r in rows], pa.binary()),
-        })
+            "kind": pa.array(np.concatenate(kind)), "digest": digests.take(pa.array(at)), "start": pa.array(np.concatenate(begins).astype(np.int32)),
+            "stop": pa.array(np.concatenate(ends).astype(np.int32)), "key": pa.array(keys, pa.binary()),
+        })
 
     return cut.groupBy("_bucket").applyInArrow(run, "kind int, digest binary, start int, stop int, key binary")
 

@@ -31,7 +31,7 @@ from . import common
 
 #: Bounds of the fit and the size of the feature space.
 SAMPLE_DOCS, BITS, MAX_GRADES = 8000, 18, 16
-EPOCHS, RATE, L2 = 40, 0.5, 1e-5
+EPOCHS, RATE, L2 = 40, 3.0, 1e-5
 #: A document is flagged where P(grade >= 1) is over this.
 FLAG = 0.5
 
