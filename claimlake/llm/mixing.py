@@ -111,7 +111,7 @@ def round_copies(rows: DataFrame, work: common.Workspace) -> DataFrame:
         left = sizes.where(F.col("_band") >= band).groupBy("source").agg(F.sum("_size").alias("_left"), F.max(F.when(F.col("_band") == band, F.col("_rows"))).alias("_n"))
         taken = None
         for d in decided:
-            part = d.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("_took"))
+            part = d.select("source", (F.col("copies") * F.col("size")).alias("_took"))
             taken = part if taken is None else taken.unionByName(part)
         plan = left
         if taken is not None:
