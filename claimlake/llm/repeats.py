@@ -262,6 +262,7 @@ def repeated_windows(docs: DataFrame, work: common.Workspace) -> tuple[DataFrame
     # Repeated rows of a stand-in only repeat what is covered whole anyway.
     one = runs.join(mine, (F.col("digest") == F.col("_d")) & F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi").select("digest", "doc_id", F.explode(F.arrays_zip("anchor", "first", "last")).alias("r")).select("digest", "doc_id", "r.anchor", "r.first", "r.last")
     several = one.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    several = work.save(several, "several")  # a table of its own, so a very common anchor's side of the join can be split
     kept = work.save(one.join(several, "anchor"), "kept")
     total = kept.agg(F.coalesce(F.sum(F.col("last") - F.col("first") + SPAN), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_STARTS))
