@@ -14,9 +14,10 @@ documents link when their Jaccard similarity is THRESHOLD percent or more.
    n - ceil(t n) + 1 of both, so a class whose prefix is all unique can have no
    partner and is done. This leaves a few percent of the classes.
 4. Candidates meet in the lists of prefix shingles; lists with the same members
-   are kept once. Length and positional filters apply where a pair is made.
-5. Verification counts common shingles once for each pair, after a suffix filter
-   (an upper bound from counts between fixed probes of the hash space).
+   are kept once. Length and positional filters apply where a pair is made, and
+   a first suffix filter: parity bitmaps bound from above what two sets share.
+5. Verification counts common shingles once for each pair, after a second suffix
+   filter (an upper bound from counts between fixed probes of the hash space).
 
 Large groups of near copies would make pairs by the square. As links only matter
 for who is connected, classes are first compared in small blocks that share a
@@ -52,6 +53,8 @@ THRESHOLD = 75
 #: Entries of a bucket aimed at, entries a map task packs at a time, and locally common shingles.
 BUCKET_ENTRIES, FLUSH_ENTRIES, HOT = 2_500_000, 1_500_000, 64
 HOT_DF = (1 << 31) - 1
+#: Parity bits of a class.
+BITMAP = 1024
 #: Sketch rounds before the exact step, classes compared in one block, and edges one task may join up.
 ROUNDS, NEAR, SMALL_EDGES = 3, 1024, 200_000
 
@@ -199,6 +202,16 @@ def prefix_length(n, threshold: int = THRESHOLD):
     return n + (-threshold * n) // 100 + 1
 
 
+def _bitmaps(h: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """BITMAP parity bits of each class's shared shingles, as signed words: two sets differ in as many
+    entries as their bitmaps in bits, or more."""
+    place = shingles.mix(h ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(BITMAP)
+    word, bit = place >> np.uint64(6), np.uint64(1) << (place & np.uint64(63))
+    if not len(cuts):
+        return np.zeros((0, BITMAP // 64), dtype=np.int64)
+    return np.stack([np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), cuts) for w in range(BITMAP // 64)], axis=1).view(np.int64)
+
+
 def _active(shared: DataFrame) -> DataFrame:
     """Classes that may have partners: cls, n, unique, tokens (shared ones, rare first), df of the prefix."""
 
@@ -224,10 +237,11 @@ def _active(shared: DataFrame) -> DataFrame:
         return pa.table({
             "cls": pa.array(c[cuts[live]].view(np.int64)), "n": pa.array(size[live].astype(np.int32)), "uniq": pa.array(unique[live].astype(np.int32)),
             "tokens": pa.array([signed[cuts[i] : ends[i]] for i in live], pa.list_(pa.int64())),
+            "bits": pa.array(_bitmaps(h, cuts)[live].tolist(), pa.list_(pa.int64())),
             "dfs": pa.array([counts[cuts[i] : min(ends[i], cuts[i] + wanted[i])] for i in live], pa.list_(pa.int32())),
         })
 
-    return shared.groupBy("home").applyInArrow(run, "cls long, n int, uniq int, tokens array<long>, dfs array<int>")
+    return shared.groupBy("home").applyInArrow(run, "cls long, n int, uniq int, tokens array<long>, bits array<long>, dfs array<int>")
 
 
 def _may_link(n1, n2, p1, p2):
@@ -416,11 +430,15 @@ def _connect(work: common.Workspace, active: DataFrame, buckets: int) -> DataFra
     mark = F.xxhash64("cls")
     lists = left.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(mark).alias("x"), F.sum(mark.bitwiseAND(F.lit(0x7FFFFFFF))).alias("s"), F.min("pos").alias("p"))
     kept = lists.groupBy("m", "x", "s").agg(F.min(F.struct("p", "token")).alias("f")).select(F.col("f.token").alias("token"))
-    left = left.join(kept, "token", "left_semi")
-    one = left.select("token", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"))
-    two = left.select("token", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"))
-    met = one.join(two, "token").where((F.col("ca") < F.col("cb")) & _may_link(F.col("na"), F.col("nb"), F.col("pa"), F.col("pb")))
-    pairs = work.save(met.select("a", "b").distinct(), "pairs")
+    left = left.join(kept, "token", "left_semi").join(active.select("cls", (F.col("n") - F.col("uniq")).alias("k"), "bits"), "cls")
+    names = ("cls", "n", "pos", "comp", "k", "bits")
+    one = left.select("token", *(F.col(c).alias(f"{c}_a") for c in names))
+    two = left.select("token", *(F.col(c).alias(f"{c}_b") for c in names))
+    differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITMAP // 64)), F.lit(0))
+    # Common entries are (k_a + k_b - difference) / 2 at most, and the bitmaps bound the difference from below.
+    suffix = (100 + THRESHOLD) * (F.col("k_a") + F.col("k_b") - differ) >= 2 * THRESHOLD * (F.col("n_a") + F.col("n_b"))
+    met = one.join(two, "token").where((F.col("comp_a") < F.col("comp_b")) & _may_link(F.col("n_a"), F.col("n_b"), F.col("pos_a"), F.col("pos_b")) & suffix)
+    pairs = work.save(met.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct(), "pairs")
     return _relabelled(work, comp, work.save(_verified(pairs, active), "links"), "last")
 
 
