@@ -51,7 +51,7 @@ from . import common, shingles
 
 THRESHOLD = 75
 #: Entries of a bucket aimed at, entries a map task packs at a time, and locally common shingles.
-BUCKET_ENTRIES, FLUSH_ENTRIES, HOT = 2_500_000, 1_500_000, 64
+BUCKET_ENTRIES, FLUSH_ENTRIES, HOT = 2_000_000, 1_000_000, 64
 HOT_DF = (1 << 31) - 1
 #: Parity bits of a class.
 BITMAP = 1024
@@ -167,6 +167,7 @@ def _shared(entries: DataFrame, buckets: int, homes: int) -> DataFrame:
             parts.append((c, n, h | np.uint64(top << 48)))
             marks.append(m)
         c, n, h = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        parts.clear()
         marked = np.unique(np.concatenate(marks)) | np.uint64(top << 48)
         if hot:
             df = np.full(len(h), HOT_DF, dtype=np.int64)
