@@ -51,7 +51,7 @@ WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], dtype=np.int
 ESCAPE = 15
 BLOCK = 256
 #: Ids after which a frame is closed, and words that a task remembers.
-FRAME_IDS, MEMO_WORDS = 1 << 18, 500_000
+FRAME_IDS, MEMO_WORDS = 1 << 18, 1_200_000
 #: Text bytes aimed at for each file.
 FILE_BYTES = 32 << 20
 END_ID = 2
