@@ -51,8 +51,11 @@ def normalize(run: Run, files: DataFrame) -> tuple[DataFrame, DataFrame, DataFra
 
     def found() -> DataFrame:
         a = grids.assets(documents)
-        ask_for = a.select("asset_id", "source_id", F.lit(None).cast("int").alias("page"), F.element_at(F.split("text", "\n"), 1).alias("own"), F.coalesce(F.get_json_object("payload", "$.caption"), F.lit("")).alias("caption"), F.coalesce(F.get_json_object("payload", "$.surrounding_text"), F.lit("")).alias("before"), F.length("text").alias("extent"))
-        where = grids.anchors(ask_for, good.select("source_id", "text"), locate.page_spans(seg))
+        said = lambda name: F.coalesce(F.get_json_object("payload", f"$.{name}"), F.lit(""))
+        own = F.coalesce(F.nullif("text", F.lit("")), said("latex"))
+        # Assets from markup have no page; only rendered pages do.
+        ask_for = a.select("asset_id", "source_id", F.lit(None).cast("int").alias("page"), own.alias("own"), said("caption").alias("caption"), said("heading").alias("heading"), said("surrounding_text").alias("before"))
+        where = grids.anchors(ask_for, good.select("source_id", "text"), locate.page_spans(seg), grids.label_probes(grids.cells(a)))
         return a.join(where.drop("source_id"), "asset_id", "left").withColumn("latex", F.get_json_object("payload", "$.latex"))
 
     return reg, seg, run.stage("assets", [reg.select("source_id", "original_sha256")], found)
