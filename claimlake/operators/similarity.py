@@ -89,6 +89,22 @@ def affinity(topics_a: Column, topics_b: Column, entities_a: Column, entities_b:
     return 0.25 * _jaccard(topics_a, topics_b) + 0.25 * _jaccard(low(entities_a), low(entities_b)) + F.when(group_a == group_b, 0.1).otherwise(0.0)
 
 
+def all_pairs(items: DataFrame, id_col: str, block_rows: int = 1000) -> DataFrame:
+    """(a, b): structs of the items of every pair with a's id under b's, gaps or not.
+
+    Ids are hashed to blocks of about ``block_rows``; a row goes to each block pair it has a part in, so no table is
+    broadcast and no key is hot. The pairs grow with the square of the rows.
+    """
+    blocks = max(4, -(-items.count() // block_rows))
+    tasks = min(blocks**2, 2048)  # set here, as the work is in the pairs and not in the bytes moved
+    row = F.struct(*items.columns)
+    home, others = F.pmod(F.xxhash64(id_col), F.lit(blocks)), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
+    a = items.select(row.alias("a"), home.alias("_p"), others.alias("_q"))
+    b = items.select(row.alias("b"), home.alias("_q"), others.alias("_p"))
+    dealt = a.repartition(tasks, "_p", "_q").join(b.repartition(tasks, "_p", "_q"), ["_p", "_q"])
+    return dealt.where(F.col(f"a.{id_col}") < F.col(f"b.{id_col}")).select("a", "b")
+
+
 def match_candidates(docs: DataFrame, id_col: str, text_col: str, batch: list[str], top_k: int = 6) -> DataFrame:
     """Groups of statements to judge together: each one's top_k - 1 neighbours in its batch, sets once.
 
