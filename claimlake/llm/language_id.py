@@ -8,7 +8,7 @@ false where it is under ``MIN_MARGIN``.
 
 Defined cases: null text or text without a letter gives ``und`` with score 0.0,
 not accepted; equal totals go to the language with more learned rows, then the
-smaller code; one learned language wins with score 1.0; nothing learned gives
+smaller code; every labelled language that has a text with a letter is learned, however many there are; one learned language wins with score 1.0; nothing learned gives
 ``und`` for all; rows with null ``doc_id`` are neither learned from nor held
 out; repeated rows each get their own result; other columns are ignored.
 """
@@ -25,8 +25,10 @@ from pyspark.sql.window import Window
 
 from . import common
 
-#: Bounds of the fit: documents sampled for each language, bytes of each dictionary, languages.
-SAMPLE_DOCS, DICT_BYTES, MAX_LANGS = 160, 128 << 10, 64
+#: Bounds of the fit: documents sampled for each language and bytes of each dictionary; beyond FULL_LANGS languages
+#: they share what that many take, down to the least below. Every language gets a dictionary.
+SAMPLE_DOCS, DICT_BYTES, FULL_LANGS = 160, 128 << 10, 64
+LEAST_DOCS, LEAST_BYTES = 4, 2 << 10
 #: Bytes compressed at a time and zstandard's level.
 CHUNK, LEVEL = 8192, 3
 #: Least relative margin of an accepted prediction.
@@ -43,21 +45,26 @@ def held_out(doc_id):
 
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> list[tuple[str, bytes]]:
-    """(language, dictionary) by falling number of learned rows.
+    """(language, dictionary) by falling number of learned rows, for every language that has a text with a letter.
 
-    Collects at most MAX_LANGS x sample_docs ids and MAX_LANGS x dict_bytes of text.
+    Collects FULL_LANGS x sample_docs ids and FULL_LANGS x dict_bytes of text, or with very many languages
+    LEAST_DOCS ids and LEAST_BYTES for each.
     """
-    keyed = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-    counts = keyed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    langs = [r["lang"] for r in counts]
+    taught = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id") & F.col("text").rlike(r"\p{L}"))
+    keyed = taught.select("doc_id", "lang")
+    langs = [r["lang"] for r in keyed.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()]
     if not langs:
         return []
+    width = 4 * dict_bytes // sample_docs
+    if len(langs) > FULL_LANGS:
+        share = FULL_LANGS / len(langs)
+        sample_docs, dict_bytes = max(LEAST_DOCS, int(share * sample_docs)), max(LEAST_BYTES, int(share * dict_bytes))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = keyed.where(F.col("lang").isin(langs)).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= sample_docs)
+    picked = keyed.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= sample_docs)
     ids = [r["doc_id"] for r in picked.select("doc_id").distinct().collect()]
     rows = (
-        docs.where(F.col("doc_id").isin(ids) & F.col("lang").isin(langs) & F.col("text").isNotNull())
-        .select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, 4 * dict_bytes // sample_docs).alias("t"))
+        taught.where(F.col("doc_id").isin(ids))
+        .select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, width).alias("t"))
         .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("h", "t"))).alias("parts")).collect()
     )
     parts = {r["lang"]: [p["t"] for p in r["parts"]] for r in rows}

@@ -461,3 +461,28 @@ def test_language_id_held_out_accuracy_and_und(spark):
         assert (by[900 + i].lang_pred == "und") == (not t or not any(c.isalpha() for c in t)) and 0 <= by[900 + i].score <= 1
     assert {r.lang_pred for r in language_id.identify(docs(spark, ODD).withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     assert language_id.identify(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_language_id_learns_every_language(spark):
+    from claimlake.llm import language_id
+
+    rng = random.Random(5)
+    names = [f"l{k:03d}" for k in range(90)]
+    vocab = {l: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(4, 9))) for _ in range(60)] for l in names}
+    rows = [(i, " ".join(rng.choice(vocab[l]) for _ in range(60)), l) for i, l in enumerate(names * 12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(df)
+    assert {l for l, _ in model} == set(names)
+    judged = [r for r in language_id.predict(df, model).collect() if r.held_out]
+    truth = {i: l for i, _, l in rows}
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in judged]) > 0.97
+
+
+def test_language_id_picks_rows_that_have_text(spark):
+    from claimlake.llm import language_id
+
+    rows = [(i, None, "aa") for i in range(600)] + [(600 + i, "ab cd ef", "aa") for i in range(6)] + [(700 + i, "xy zz", "bb") for i in range(6)] + [(800 + i, "12 3", "cc") for i in range(6)] + [(900 + i, "q", "dd") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = dict(language_id.fit(df))
+    assert set(model) == {"aa", "bb", "dd"} and b"ab cd ef" in model["aa"]
+    assert language_id.identify(df).count() == len(rows)
