@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import re
 import uuid
 
+import pyarrow as pa
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no checkpoint folder (tests on one machine).
+#: Used where the session names no checkpoint folder and runs inside this machine's JVM (tests).
 LOCAL_CHECKPOINTS = "file:///tmp/checkpoints"
 #: Rows and bytes of one Arrow batch handed to a Python worker.
 BATCH_ROWS, BATCH_BYTES = 1024, 32 << 20
@@ -21,9 +25,11 @@ PLAIN_WORDS = bytes(_LOWER.get(c, c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 1
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or the local one where unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Only a ``local[...]`` session may leave it unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: executors need a folder that they share")
         root = LOCAL_CHECKPOINTS
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -73,3 +79,33 @@ def single_thread() -> None:
 def text_bytes(col):
     """UTF-8 length of a text, null counting as empty."""
     return F.coalesce(F.octet_length(col), F.lit(0)).cast("long")
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Each name, with underscores before it until no column of df has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def columns(df: DataFrame) -> list:
+    """All columns of df, whatever their names hold."""
+    return [F.col(quoted(c)) for c in df.columns]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def release() -> None:
+    """Gives memory that a group or partition took back to the system, as Python workers live on."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass

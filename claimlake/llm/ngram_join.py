@@ -5,10 +5,14 @@ A document's set is its distinct 5-word shingles (A-Z lower-cased words
 documents link when their Jaccard similarity is THRESHOLD percent or more.
 
 1. Documents with equal sets form a class; everything below works on classes.
-2. Document frequency of every shingle over all classes: map tasks pack
+   The same pass counts shingles in flushes of FLUSH_ENTRIES and reports those
+   over HOT times in one; summed up, they are the frequencies of common shingles.
+2. Document frequency of every other shingle over all classes: map tasks pack
    (shingle, class) entries into one blob for each bucket of the hash space, and a
    bucket is sorted in numpy. Only shingles of two classes or more go on; a
-   class knows how many unique ones it has from its set size.
+   class knows how many unique ones it has from its set size. Entries of common
+   shingles go straight to their class's home with the frequency of step 1, so no
+   task holds all of them.
 3. Rare-first prefixes: unique shingles come first, then rising (frequency,
    shingle). A pair over the threshold shares a shingle among the first
    n - ceil(t n) + 1 of both, so a class whose prefix is all unique can have no
@@ -20,20 +24,24 @@ documents link when their Jaccard similarity is THRESHOLD percent or more.
    filter (an upper bound from counts between fixed probes of the hash space).
 
 Large groups of near copies would make pairs by the square. As links only matter
-for who is connected, classes are first compared in small blocks that share a
-sketch shingle (several rounds, one comparison each for a block of copies), and
-links are contracted. The exact step then reads prefix lists: those within one
-component are closed where they are sorted, and every remaining pair between
-different components that passes the filters is verified, so no link is lost.
+for who is connected, classes that share one of SKETCHES sketch shingles are first
+joined up in blocks bounded in rows and tokens (exactly, by search from class to
+class), and links are contracted. The exact step then reads prefix lists: those
+within one component are closed where they are sorted, and every remaining pair
+between different components that passes the filters is verified, so no link is
+lost.
 
-A shingle that more than HOT classes of one map flush share is listed beside the
-buckets, in rows salted by flush, and gets the top frequency everywhere, so no
-task holds all the entries of a very common shingle.
+The common shingles that every task knows are at most MOST_COMMON (the bound of
+the frequency above which a shingle counts as common rises until they fit). One
+that no flush reports has at most HOT entries in each FLUSH_ENTRIES.
 
 Defined cases: null, empty or wordless text has an empty set, links with nothing
 and is its own component; null doc_id keeps its row and never names a component;
-repeated rows are one class; an empty table gives none; other columns are
-ignored (``keep_one`` keeps them).
+repeated rows are one class; ties in frequency go by shingle hash; very long texts
+are taken whole; an empty table gives none; other columns are ignored.
+``keep_one`` keeps them, whatever their names: of each component the smallest
+doc_id's row stays (of several rows with it one text, once); rows without words
+all stay.
 """
 
 from __future__ import annotations
@@ -42,7 +50,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -50,93 +57,140 @@ from pyspark.sql.window import Window
 from . import common, shingles
 
 THRESHOLD = 75
-#: Entries of a bucket aimed at, entries a map task packs at a time, and locally common shingles.
-BUCKET_ENTRIES, FLUSH_ENTRIES, HOT = 2_000_000, 1_000_000, 64
-HOT_DF = (1 << 31) - 1
+#: Entries of a bucket aimed at, entries a map task packs at a time.
+BUCKET_ENTRIES, FLUSH_ENTRIES = 1_000_000, 1_000_000
+#: Entries of a shingle in one flush above which it is reported, the least sum that makes it common, and how many
+#: common ones tasks may know (16 bytes each).
+HOT, COMMON, MOST_COMMON = 16, 1024, 1 << 20
 #: Parity bits of a class.
 BITMAP = 1024
-#: Sketch rounds before the exact step, classes compared in one block, and edges one task may join up.
-ROUNDS, NEAR, SMALL_EDGES = 3, 1024, 200_000
+#: Sketch shingles of a class, rows and tokens of a block, tokens of a task's group of blocks, edges one task may join up.
+SKETCHES, BLOCK_ROWS, BLOCK_TOKENS, GROUP_TOKENS, SMALL_EDGES = 3, 1024, 400_000, 1_000_000, 200_000
 
-LOW48 = np.uint64((1 << 48) - 1)
+SETS = "doc_id long, cls long, n_shingles long, k1 long, k2 long, token long, times long"
+_U = np.uint64
+
+
+def row_keys(doc_id, text):
+    """Two hashes by which equal (doc_id, text) rows are known."""
+    return F.xxhash64(doc_id, text), F.xxhash64(text, doc_id, F.lit(7))
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, cls (digest of the set, null if empty), n_shingles."""
+    """A row with doc_id, cls (digest of the set, null if empty), n_shingles and row keys for each document; rows
+    with token and times for the shingles that are in over HOT classes of a flush."""
+    hot = HOT
+
+    def reported(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
+        flat = np.sort(np.concatenate(list(sets.values())))
+        cuts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        times = np.diff(np.concatenate([cuts, [len(flat)]]))
+        kept = times > hot
+        none = pa.nulls(int(kept.sum()), pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, none, none, none, pa.array(flat[cuts[kept]].view(np.int64)), pa.array(times[kept].astype(np.int64))], names=[c.split()[0] for c in SETS.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[int, np.ndarray] = {}
+        size = 0
         for batch in batches:
-            sets = [(shingles.digest(s) if len(s) else None, len(s)) for s in shingles.shingle_sets(batch["_text"].to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([d for d, _ in sets], pa.int64()), pa.array([n for _, n in sets], pa.int64())], names=["doc_id", "cls", "n_shingles"])
+            found = []
+            for s in shingles.shingle_sets(batch["_text"].to_pylist()):
+                key = shingles.digest(s) if len(s) else None
+                found.append((key, len(s)))
+                if len(s) and key not in sets:
+                    sets[key] = s
+                    size += len(s)
+            none = pa.nulls(len(found), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([d for d, _ in found], pa.int64()), pa.array([n for _, n in found], pa.int64()), batch["k1"], batch["k2"], none, none], names=[c.split()[0] for c in SETS.split(", ")])
+            if size >= FLUSH_ENTRIES:
+                yield reported(sets)
+                sets, size = {}, 0
+        if sets:
+            yield reported(sets)
+        common.release()
 
     common.bounded_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode("text", "UTF-8").alias("_text")).mapInArrow(run, "doc_id long, cls long, n_shingles long")
+    k1, k2 = row_keys(F.col("doc_id").cast("long"), F.col("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode("text", "UTF-8").alias("_text"), k1.alias("k1"), k2.alias("k2")).mapInArrow(run, SETS)
+
+
+def common_shingles(reports: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, frequencies) of the common shingles: MOST_COMMON at most, by a bound that fits."""
+    summed = reports.groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= COMMON)
+    by_size = {r["b"]: r["c"] for r in summed.groupBy(F.floor(F.log2("times")).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("c")).collect()}  # 63 rows at most
+    least, held = COMMON, 0
+    for b in sorted(by_size, reverse=True):
+        held += by_size[b]
+        if held > MOST_COMMON:
+            least = max(least, 1 << (b + 1))
+            break
+    rows = summed.where(F.col("times") >= least).toArrow()
+    tokens, times = rows["token"].to_numpy().view(np.uint64), rows["times"].to_numpy().astype(np.int64)
+    order = np.argsort(tokens)
+    return tokens[order], times[order]
 
 
-def _pack(classes, sizes, counts, hashes, marks=()) -> bytes:
-    """Entries of one bucket: each class with its shingles, then locally common shingles without classes.
+def _pack(classes, sizes, counts, hashes) -> bytes:
+    """Entries of one bucket: each class with its shingles.
 
-    A class costs 11 bytes (digest, size up to 65534 or an escape, entries up to 254 or an escape), an entry 6.
+    A class costs 11 bytes (digest, size up to 65534 or an escape, entries up to 254 or an escape), an entry 8.
     """
-    marks, sizes, counts = np.asarray(marks, dtype=np.uint64), np.asarray(sizes), np.asarray(counts)
+    sizes, counts = np.asarray(sizes), np.asarray(counts)
     big, many = sizes >= 0xFFFF, counts >= 0xFF
     return b"".join([
-        np.array([len(classes), len(hashes), len(marks), big.sum(), many.sum()], dtype="<u4").tobytes(), np.asarray(classes).astype("<u8").tobytes(),
+        np.array([len(classes), len(hashes), big.sum(), many.sum()], dtype="<u4").tobytes(), np.asarray(classes).astype("<u8").tobytes(),
         np.where(big, 0xFFFF, sizes).astype("<u2").tobytes(), np.where(many, 0xFF, counts).astype("u1").tobytes(), sizes[big].astype("<u8").tobytes(), counts[many].astype("<u4").tobytes(),
-        (hashes & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(), ((hashes >> np.uint64(32)) & np.uint64(0xFFFF)).astype("<u2").tobytes(), marks.astype("<u8").tobytes(),
+        hashes.astype("<u8").tobytes(),
     ])
 
 
 def _unpack(blob: bytes):
-    n, m, k, big, many = np.frombuffer(blob, dtype="<u4", count=5).tolist()
-    at = 20
+    """(classes, sizes, hashes) of the entries."""
+    n, m, big, many = np.frombuffer(blob, dtype="<u4", count=4).tolist()
+    at = 16
     out = []
-    for kind, size in (("<u8", n), ("<u2", n), ("u1", n), ("<u8", big), ("<u4", many), ("<u4", m), ("<u2", m), ("<u8", k)):
+    for kind, size in (("<u8", n), ("<u2", n), ("u1", n), ("<u8", big), ("<u4", many), ("<u8", m)):
         part = np.frombuffer(blob, dtype=kind, count=size, offset=at)
         at += part.nbytes
         out.append(part)
-    classes, small, few, large, lots, low, high, marks = out
+    classes, small, few, large, lots, hashes = out
     sizes, counts = small.astype(np.uint32), few.astype(np.int64)
     sizes[small == 0xFFFF], counts[few == 0xFF] = large, lots
-    return np.repeat(classes, counts), np.repeat(sizes, counts), low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)), marks
+    return np.repeat(classes, counts), np.repeat(sizes, counts), hashes
+
 
+def _entries(docs: DataFrame, buckets: int, known: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(bucket, blob) rows; from ``buckets`` on, entries of common shingles dealt by the home of their class."""
+    tokens = known[0]
 
-def _entries(docs: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, blob) rows; buckets from ``buckets`` on hold lists of locally common shingles."""
+    def home_of(classes: np.ndarray) -> np.ndarray:
+        return shingles.mix(classes) % _U(buckets)
+
+    def parts(owner: np.ndarray, h: np.ndarray, bucket: np.ndarray, classes: np.ndarray, sizes: np.ndarray, base: int) -> Iterator[tuple[int, bytes]]:
+        order = np.argsort(bucket, kind="stable")
+        owner, h, bucket = owner[order], h[order], bucket[order]
+        cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
+        for a, b in zip(cuts, [*cuts[1:], len(bucket)]):
+            held, counts = np.unique(owner[a:b], return_counts=True)
+            yield base + int(bucket[a]), _pack(classes[held], sizes[held], counts, h[a:b])
 
-    def flush(sets: dict[int, np.ndarray], salt: int) -> Iterator[tuple[int, bytes]]:
+    def flush(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
         classes = np.fromiter(sets, dtype=np.int64, count=len(sets)).view(np.uint64)
         sizes = np.array([len(s) for s in sets.values()], dtype=np.int64)
-        owner, all_hashes = np.repeat(np.arange(len(sets)), sizes), np.concatenate(list(sets.values()))
-        bucket = ((all_hashes >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.uint16)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for b in range(buckets):
-            mine = order[cuts[b] : cuts[b + 1]]
-            if not len(mine):
-                continue
-            own, h = owner[mine], all_hashes[mine] & LOW48
-            marks = np.zeros(0, dtype=np.uint64)
-            if len(sets) > HOT:
-                ranked = np.sort(h)
-                marks = np.unique(ranked[HOT:][ranked[HOT:] == ranked[:-HOT]])
-            if len(marks):
-                common_ones = np.isin(h, marks)
-                for token in marks:
-                    held = own[common_ones & (h == token)]
-                    yield buckets + (salt * 31 + int(token)) % buckets, _pack(classes[held], sizes[held], np.ones(len(held)), np.full(len(held), token | np.uint64(b << 48))) + np.uint64(b).tobytes()
-                own, h = own[~common_ones], h[~common_ones]
-            held, counts = np.unique(own, return_counts=True)
-            yield b, _pack(classes[held], sizes[held], counts, h, marks) + np.uint64(b).tobytes()
+        owner, h = np.repeat(np.arange(len(sets), dtype=np.int32), sizes), np.concatenate(list(sets.values()))
+        rows: list[tuple[int, bytes]] = []
+        if len(tokens):
+            at = np.searchsorted(tokens, h)
+            at[at == len(tokens)] = 0
+            often = tokens[at] == h
+            rows += parts(owner[often], h[often], home_of(classes)[owner[often]], classes, sizes, buckets)
+            owner, h = owner[~often], h[~often]
+        rows += parts(owner, h, (h >> _U(32)) * _U(buckets) >> _U(32), classes, sizes, 0)
+        return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], names=["bucket", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[int, np.ndarray] = {}
-        size, salt = 0, TaskContext.get().partitionId() * 1009
-
-        def out() -> pa.RecordBatch:
-            rows = list(flush(sets, salt))
-            return pa.RecordBatch.from_arrays([pa.array([b for b, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], names=["bucket", "blob"])
-
+        size = 0
         for batch in batches:
             for s in shingles.shingle_sets(batch["_text"].to_pylist()):
                 if len(s):
@@ -145,57 +199,62 @@ def _entries(docs: DataFrame, buckets: int) -> DataFrame:
                         sets[key] = s
                         size += len(s)
                 if size >= FLUSH_ENTRIES:
-                    yield out()
-                    sets, size, salt = {}, 0, salt + 1
+                    yield flush(sets)
+                    sets, size = {}, 0
         if sets:
-            yield out()
+            yield flush(sets)
+        common.release()
+
+    return docs.select(F.encode("text", "UTF-8").alias("_text")).mapInArrow(run, "bucket long, blob binary")
 
-    return docs.select(F.encode("text", "UTF-8").alias("_text")).mapInArrow(run, "bucket int, blob binary")
 
+def _fresh(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    out = np.ones(len(columns[0]), dtype=bool)
+    if len(out):
+        out[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return out
 
-def _shared(entries: DataFrame, buckets: int, homes: int) -> DataFrame:
+
+def _shared(entries: DataFrame, buckets: int, known: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """(home, blob): entries whose shingle two classes or more have, dealt by class."""
+    tokens, times = known
 
     def run(group: pa.Table) -> pa.Table:
-        parts, marks = [], []
-        hot = group["bucket"][0].as_py() >= buckets
-        top = 0
-        for x in group["blob"]:
-            blob = x.as_py()
-            top = int(np.frombuffer(blob[-8:], dtype="<u8")[0])
-            c, n, h, m = _unpack(blob[:-8])
-            parts.append((c, n, h | np.uint64(top << 48)))
-            marks.append(m)
+        direct = group["bucket"][0].as_py() - buckets
+        parts = [_unpack(x.as_py()) for x in group["blob"]]
         c, n, h = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        parts.clear()
-        marked = np.unique(np.concatenate(marks)) | np.uint64(top << 48)
-        if hot:
-            df = np.full(len(h), HOT_DF, dtype=np.int64)
+        del parts
+        if direct >= 0:
+            df = times[np.searchsorted(tokens, h)]
         else:
             order = np.argsort(h)
             ranked = h[order]
-            same = np.concatenate([[False], ranked[1:] == ranked[:-1]])
-            several = same | np.concatenate([same[1:], [False]]) | np.isin(ranked, marked)
+            fresh = _fresh(ranked)
+            several = ~fresh | np.concatenate([~fresh[1:], [False]])
             order = order[several]
+            del ranked, fresh, several
             c, n, h = c[order], n[order], h[order]
             order = np.lexsort((c, h))
             c, n, h = c[order], n[order], h[order]
-            fresh = np.ones(len(h), dtype=bool)
-            fresh[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
+            fresh = _fresh(h, c)
             c, n, h = c[fresh], n[fresh], h[fresh]
-            _, inverse, counts = np.unique(h, return_inverse=True, return_counts=True)
-            df = counts[inverse] if len(h) else np.zeros(0, dtype=np.int64)
-            df = np.where(np.isin(h, marked), HOT_DF, df)
+            cuts = np.flatnonzero(_fresh(h))
+            counts = np.diff(np.concatenate([cuts, [len(h)]]))
+            df = np.repeat(counts, counts)
             kept = df >= 2
             c, n, h, df = c[kept], n[kept], h[kept], df[kept]
-        home = (shingles.mix(c) % np.uint64(homes)).astype(np.int32)
+        home = (shingles.mix(c) % _U(buckets)).astype(np.int64)
         order = np.argsort(home, kind="stable")
         c, n, h, df, home = c[order], n[order], h[order], df[order], home[order]
-        cuts = np.flatnonzero(np.concatenate([[True], home[1:] != home[:-1]])) if len(home) else np.zeros(0, dtype=np.int64)
-        blobs = [b"".join([c[a:b].astype("<u8").tobytes(), h[a:b].astype("<u8").tobytes(), df[a:b].astype("<u4").tobytes(), n[a:b].astype("<u4").tobytes()]) for a, b in zip(cuts, [*cuts[1:], len(home)])]
-        return pa.table({"home": pa.array(home[cuts], pa.int32()), "blob": pa.array(blobs, pa.binary())})
+        cuts = np.flatnonzero(_fresh(home))
+        blobs = [b"".join([c[a:b].astype("<u8").tobytes(), h[a:b].astype("<u8").tobytes(), df[a:b].astype("<u8").tobytes(), n[a:b].astype("<u4").tobytes()]) for a, b in zip(cuts, [*cuts[1:], len(home)])]
+        out = pa.table({"home": pa.array(home[cuts], pa.int64()), "blob": pa.array(blobs, pa.binary())})
+        del c, n, h, df, home, order, blobs
+        common.release()
+        return out
 
-    return entries.groupBy("bucket").applyInArrow(run, "home int, blob binary")
+    return entries.groupBy("bucket").applyInArrow(run, "home long, blob binary")
 
 
 def prefix_length(n, threshold: int = THRESHOLD):
@@ -213,36 +272,50 @@ def _bitmaps(h: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return np.stack([np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), cuts) for w in range(BITMAP // 64)], axis=1).view(np.int64)
 
 
+def _sketches(h: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """For each class the SKETCHES shared shingles with the smallest seeded hashes (the hashes, which stand for them)."""
+    return np.stack([np.minimum.reduceat(shingles.mix(h ^ _U(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64))), cuts) for k in range(SKETCHES)], axis=1).view(np.int64)
+
+
 def _active(shared: DataFrame) -> DataFrame:
-    """Classes that may have partners: cls, n, unique, tokens (shared ones, rare first), df of the prefix."""
+    """Classes that may have partners: cls, n, uniq, tokens (shared shingles, sorted, packed), prefix (rare first)."""
 
     def run(group: pa.Table) -> pa.Table:
         parts = []
         for x in group["blob"]:
             blob = x.as_py()
-            m = len(blob) // 24
-            parts.append((np.frombuffer(blob, "<u8", m), np.frombuffer(blob, "<u8", m, 8 * m), np.frombuffer(blob, "<u4", m, 16 * m), np.frombuffer(blob, "<u4", m, 20 * m)))
+            m = len(blob) // 28
+            parts.append((np.frombuffer(blob, "<u8", m), np.frombuffer(blob, "<u8", m, 8 * m), np.frombuffer(blob, "<u8", m, 16 * m), np.frombuffer(blob, "<u4", m, 24 * m)))
         c, h, df, n = (np.concatenate([p[i] for p in parts]) for i in range(4))
-        order = np.lexsort((h, df, c))
-        c, h, df, n = c[order], h[order], df[order].astype(np.int64), n[order].astype(np.int64)
-        fresh = np.ones(len(h), dtype=bool)
-        fresh[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
+        del parts
+        order = np.lexsort((h, c))
+        c, h, df, n = c[order], h[order], df[order], n[order]
+        fresh = _fresh(c, h)
         c, h, df, n = c[fresh], h[fresh], df[fresh], n[fresh]
-        cuts = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-        ends = np.concatenate([cuts[1:], [len(c)]])
-        size = n[cuts]
+        cuts = np.flatnonzero(_fresh(c))
+        ends = np.concatenate([cuts[1:], [len(c)]]).astype(np.int64)
+        size = n[cuts].astype(np.int64)
         unique = size - (ends - cuts)
         wanted = prefix_length(size) - unique
         live = np.flatnonzero(wanted > 0)
-        signed, counts = h.view(np.int64), df.astype(np.int32)
-        return pa.table({
-            "cls": pa.array(c[cuts[live]].view(np.int64)), "n": pa.array(size[live].astype(np.int32)), "uniq": pa.array(unique[live].astype(np.int32)),
-            "tokens": pa.array([signed[cuts[i] : ends[i]] for i in live], pa.list_(pa.int64())),
-            "bits": pa.array(_bitmaps(h, cuts)[live].tolist(), pa.list_(pa.int64())),
-            "dfs": pa.array([counts[cuts[i] : min(ends[i], cuts[i] + wanted[i])] for i in live], pa.list_(pa.int32())),
-        })
-
-    return shared.groupBy("home").applyInArrow(run, "cls long, n int, uniq int, tokens array<long>, bits array<long>, dfs array<int>")
+        alive = np.repeat(wanted > 0, ends - cuts)
+        c, h, df = c[alive], h[alive], df[alive]
+        at = np.concatenate([[0], np.cumsum((ends - cuts)[live])]).astype(np.int64)
+        owner = np.repeat(np.arange(len(live)), np.diff(at))
+        rare = h[np.lexsort((h, df, owner))].view(np.int64)
+        prefix = [rare[a : min(b, a + w)] for a, b, w in zip(at[:-1], at[1:], wanted[live])]
+        none = np.zeros((0, 1), dtype=np.int64)
+        out = pa.table({
+            "cls": pa.array(c[at[:-1]].view(np.int64)), "n": pa.array(size[live].astype(np.int32)), "uniq": pa.array(unique[live].astype(np.int32)),
+            "tokens": pa.array([h[a:b].view(np.int64).tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()),
+            "bits": pa.array((_bitmaps(h, at[:-1]) if len(live) else none).tolist(), pa.list_(pa.int64())),
+            "prefix": pa.array(prefix, pa.list_(pa.int64())), "sketch": pa.array((_sketches(h, at[:-1]) if len(live) else none).tolist(), pa.list_(pa.int64())),
+        })
+        del c, h, df, n, order, alive, owner, rare, prefix
+        common.release()
+        return out
+
+    return shared.groupBy("home").applyInArrow(run, "cls long, n int, uniq int, tokens binary, bits array<long>, prefix array<long>, sketch array<long>")
 
 
 def _may_link(n1, n2, p1, p2):
@@ -251,7 +324,7 @@ def _may_link(n1, n2, p1, p2):
     return (100 * F.least(n1, n2) >= THRESHOLD * F.greatest(n1, n2)) & ((100 + THRESHOLD) * F.least(n1 - p1, n2 - p2) >= need)
 
 
-PROBES = np.linspace(-(1 << 63), (1 << 63) - 1, 17)[1:-1].astype(np.int64)
+PROBES = np.arange(1, 16, dtype=np.uint64) << np.uint64(60)
 
 
 def common_count(a: np.ndarray, b: np.ndarray, need: int) -> int:
@@ -277,8 +350,7 @@ def _verified(pairs: DataFrame, active: DataFrame) -> DataFrame:
             for i in range(len(batch)):
                 total = int(na[i]) + int(nb[i])
                 need = -(-THRESHOLD * total // (100 + THRESHOLD))
-                a, b = np.sort(batch["ta"][i].values.to_numpy()), np.sort(batch["tb"][i].values.to_numpy())
-                same = common_count(a, b, need)
+                same = common_count(np.frombuffer(batch["ta"][i].as_buffer(), dtype=np.uint64), np.frombuffer(batch["tb"][i].as_buffer(), dtype=np.uint64), need)
                 ok.append(100 * same >= THRESHOLD * (total - same))
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
@@ -330,44 +402,82 @@ def components(work: common.Workspace, edges: DataFrame, label: str) -> DataFram
     return e.select(F.col("u").alias("v"), F.col("v").alias("root"))
 
 
-def _near_links(active: DataFrame, comp: DataFrame, work: common.Workspace, k: int) -> DataFrame:
-    """(a, b) of some linked classes that share their k-th sketch shingle, compared in blocks.
+def block_links(n: np.ndarray, cuts: np.ndarray, flat: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join up all linked classes of a block: a search that reaches each class once.
 
-    The sketch shingle is the shared one with the smallest k-th hash, so near copies mostly have
-    the same. A shingle's classes are salted into blocks of about NEAR; a block compares each class
-    with the first of every group it has so far, so a block of copies costs one comparison each.
+    n: set sizes; flat: the classes' shared shingles, one after the other, from ``cuts`` on.
     """
-    seed = F.lit(k)
-    sketch = F.array_min(F.transform("tokens", lambda t: F.struct(F.xxhash64(t, seed).alias("h"), t.alias("t"))))["t"]
-    keyed = active.select("cls", "n", "tokens", sketch.alias("_s"))
-    crowd = keyed.groupBy("_s").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select(F.col("_s").alias("_k"), F.ceil(F.col("_m") / NEAR).alias("_parts"))
-    dealt = keyed.join(crowd, F.col("_s") == F.col("_k")).withColumn("_part", F.pmod(F.xxhash64("cls", seed), F.col("_parts")))
+    _, ids = np.unique(flat, return_inverse=True)
+    ends = np.concatenate([cuts[1:], [len(flat)]])
+    mark = np.zeros(int(ids.max()) + 1, dtype=np.uint8)
+    rest, rest_ids, rest_cuts = np.arange(len(n)), ids, cuts
+    links: list[tuple[int, int]] = []
+    stack: list[int] = []
+    while len(rest):
+        if stack:
+            i = stack.pop()
+        else:
+            i = int(rest[0])
+            width = ends[i] - cuts[i]
+            rest, rest_ids, rest_cuts = rest[1:], rest_ids[width:], rest_cuts[1:] - width
+            if not len(rest):
+                break
+        mine = ids[cuts[i] : ends[i]]
+        mark[mine] = 1
+        same = np.add.reduceat(mark[rest_ids], rest_cuts, dtype=np.int64)
+        mark[mine] = 0
+        linked = 100 * same >= THRESHOLD * (n[i] + n[rest] - same)
+        if linked.any():
+            found = rest[linked].tolist()
+            links += [(i, j) for j in found]
+            stack += found
+            sizes = np.diff(np.concatenate([rest_cuts, [len(rest_ids)]]))
+            rest, rest_ids, sizes = rest[~linked], rest_ids[np.repeat(~linked, sizes)], sizes[~linked]
+            rest_cuts = np.cumsum(sizes) - sizes
+    return links
+
+
+def _near_links(active: DataFrame) -> DataFrame:
+    """(a, b) that join up the linked classes of each block of classes with a sketch shingle in common.
+
+    Near copies mostly have the same sketch shingle. A shingle's classes are salted into blocks of
+    about BLOCK_ROWS and BLOCK_TOKENS, another way for each sketch, and many small blocks are one
+    group, so what a task holds is bounded (one very long class apart).
+    """
+    keyed = active.select("cls", "n", "tokens", F.posexplode("sketch").alias("_k", "_s"))
+    weight = F.length("tokens") / 8
+    crowd = active.select(weight.alias("w"), F.posexplode("sketch").alias("k", "s")).groupBy("k", "s").agg(F.count(F.lit(1)).alias("m"), F.sum("w").alias("w")).where("m > 1")
+    crowd = crowd.select("k", "s", F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(F.col("w") / BLOCK_TOKENS)).alias("_parts"))
+    spark = active.sparkSession
+    total = active.agg(F.coalesce(F.sum(weight), F.lit(0.0))).first()[0]
+    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(SKETCHES * total / GROUP_TOKENS) + 1)
+    block = F.xxhash64("_k", "_s", F.pmod(F.xxhash64("cls", "_k"), F.col("_parts")))
+    dealt = keyed.join(crowd, (F.col("_s") == F.col("s")) & (F.col("_k") == F.col("k"))).select("cls", "n", "tokens", block.alias("_b"), F.pmod(block, F.lit(groups)).alias("_g"))
 
     def run(group: pa.Table) -> pa.Table:
-        n, cls = group["n"].to_numpy(), group["cls"].to_numpy()
-        sets = [np.sort(x.values.to_numpy()) for x in group["tokens"]]
-        order = np.lexsort((cls, n))
-        leaders: list[int] = []
-        links: list[tuple[int, int]] = []
-        for i in order.tolist():
-            for j in leaders:
-                total = int(n[i]) + int(n[j])
-                if 100 * min(n[i], n[j]) >= THRESHOLD * max(n[i], n[j]):
-                    same = common_count(sets[i], sets[j], -(-THRESHOLD * total // (100 + THRESHOLD)))
-                    if 100 * same >= THRESHOLD * (total - same):
-                        links.append((cls[i], cls[j]))
-                        break
-            else:
-                if len(leaders) < 32:  # later rounds and the exact step take what is left
-                    leaders.append(i)
-        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
-
-    return dealt.groupBy("_s", "_part").applyInArrow(run, "a long, b long")
+        group = group.sort_by([("_b", "ascending"), ("cls", "ascending")]).combine_chunks()
+        packed = group["tokens"].combine_chunks() if isinstance(group["tokens"], pa.ChunkedArray) else group["tokens"]
+        flat = np.frombuffer(b"".join(x.as_py() for x in packed), dtype=np.uint64)
+        widths = np.array([len(x.as_buffer()) // 8 for x in packed], dtype=np.int64)
+        at = np.concatenate([[0], np.cumsum(widths)])
+        n, cls, b = group["n"].to_numpy().astype(np.int64), group["cls"].to_numpy(), group["_b"].to_numpy()
+        first = np.flatnonzero(_fresh(b))
+        left, right = [], []
+        for x, y in zip(first, [*first[1:], len(b)]):
+            if y - x > 1:
+                for i, j in block_links(n[x:y], at[x:y] - at[x], flat[at[x] : at[y]]):
+                    left.append(cls[x + i])
+                    right.append(cls[x + j])
+        del flat, packed
+        common.release()
+        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+    return dealt.groupBy("_g").applyInArrow(run, "a long, b long")
 
 
 def _open_entries(active: DataFrame, comp: DataFrame, buckets: int) -> DataFrame:
     """(token, cls, n, pos, comp) of the prefix shingles that classes of several components share."""
-    shared = active.select("cls", "n", "uniq", F.slice("tokens", 1, F.size("dfs")).alias("p")).join(comp, "cls")
+    shared = active.select("cls", "n", "uniq", F.col("prefix").alias("p")).join(comp, "cls")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -424,8 +534,7 @@ def _relabelled(work: common.Workspace, comp: DataFrame, links: DataFrame, label
 def _connect(work: common.Workspace, active: DataFrame, buckets: int) -> DataFrame:
     """(cls, comp) of every active class."""
     comp = active.select("cls", F.col("cls").alias("comp"))
-    for k in range(ROUNDS):
-        comp = _relabelled(work, comp, work.save(_near_links(active, comp, work, k), f"near{k}"), f"cc{k}")
+    comp = _relabelled(work, comp, work.save(_near_links(active), "near"), "cc")
     left = work.save(_open_entries(active, comp, buckets), "open")
     # Lists with the same members give the same pairs: the first in rare-first order stands for all of them.
     mark = F.xxhash64("cls")
@@ -443,43 +552,46 @@ def _connect(work: common.Workspace, active: DataFrame, buckets: int) -> DataFra
     return _relabelled(work, comp, work.save(_verified(pairs, active), "links"), "last")
 
 
-def link_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, cls of every row."""
+def linked_sets(docs: DataFrame, work: common.Workspace) -> DataFrame:
+    """doc_id, n_shingles, component_id, cls, comp (root class), k1, k2 of every row."""
     spark = docs.sparkSession
-    work = common.Workspace(spark, "ngram_join")
     common.bounded_batches(spark)
-    sets = work.save(document_sets(docs), "sets")
+    rows = work.save(document_sets(docs), "sets")
+    sets = rows.where("token IS NULL").drop("token", "times")
+    known = common_shingles(rows.where("token IS NOT NULL"))
     total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    buckets = int(min(65_535, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_ENTRIES))))
-    active = work.save(_active(_shared(_entries(docs, buckets), buckets, buckets)), "active")
-    comp = _connect(work, active, buckets)
-    return _name(sets, comp)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_ENTRIES))
+    active = work.save(_active(_shared(_entries(docs, buckets, known), buckets, known)), "active")
+    return _name(sets, _connect(work, active, buckets))
+
+
+def link_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, cls of every row."""
+    return linked_sets(docs, common.Workspace(docs.sparkSession, "ngram_join")).select("doc_id", "n_shingles", "component_id", "cls")
 
 
 def _name(sets: DataFrame, comp: DataFrame) -> DataFrame:
     """Every document with the smallest doc_id of its component."""
-    labelled = sets.where("n_shingles > 0").join(comp, "cls", "left").select("doc_id", "n_shingles", "cls", F.coalesce("comp", "cls").alias("comp"))
+    labelled = sets.where("n_shingles > 0").join(comp, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     names = labelled.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    linked = labelled.join(names, "comp").select("doc_id", "n_shingles", "component_id", "cls")
-    alone = sets.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "cls")
+    columns = ("doc_id", "n_shingles", "component_id", "cls", "comp", "k1", "k2")
+    linked = labelled.join(names, "comp").select(*columns)
+    alone = sets.where("n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "comp": F.col("cls")}).select(*columns)
     return linked.unionByName(alone)
 
 
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the row with the smallest doc_id stays, once."""
-    work = common.Workspace(spark, "keep_one")
-    found = work.save(link_documents(docs), "found")
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("cls").alias("_cls"), (F.col("n_shingles") > 0).alias("_once")).distinct()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles.digest(s) if len(s) else None for s in shingles.shingle_sets([None if t is None else t.encode() for t in batch["text"].to_pylist()])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sets, pa.int64())], names=[*batch.schema.names, "_c"])
+    """Pipeline stage: of each component one row of the smallest doc_id stays; rows without words all stay.
 
-    common.bounded_batches(spark)
-    from pyspark.sql.types import LongType, StructType
-
-    marked = docs.mapInArrow(run, StructType([*docs.schema.fields]).add("_c", LongType()))
-    joined = marked.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col("_c").eqNullSafe(F.col("_cls")))
-    first = F.row_number().over(Window.partitionBy("_id", "_cls").orderBy("_id"))
-    return joined.withColumn("_n", first).where(~F.col("_once") | (F.col("_n") == 1)).select(*docs.columns)
+    The smallest doc_id's text is the one with the smallest row key, should rows of several texts have it.
+    """
+    work = common.Workspace(spark, "keep_one")
+    found = work.save(linked_sets(docs, work), "found").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    one = found.where("n_shingles > 0").groupBy("comp").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.k1", "k.k2")
+    every = found.where("n_shingles = 0").select("k1", "k2").distinct()
+    h1, h2, once, number = common.unused(docs, "_h1", "_h2", "_once", "_number")
+    keep = one.withColumn(once, F.lit(True)).unionByName(every.withColumn(once, F.lit(False))).withColumnsRenamed({"k1": h1, "k2": h2})
+    k1, k2 = row_keys(F.col("doc_id").cast("long"), F.col("text"))
+    joined = docs.withColumns({h1: k1, h2: k2}).join(keep, [h1, h2])
+    first = F.row_number().over(Window.partitionBy(h1, h2).orderBy(h1))
+    return joined.withColumn(number, first).where(~F.col(once) | (F.col(number) == 1)).select(*common.columns(docs))
