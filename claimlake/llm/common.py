@@ -11,6 +11,7 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Used where the session names no checkpoint folder and runs inside this machine's JVM (tests).
 LOCAL_CHECKPOINTS = "file:///tmp/checkpoints"
@@ -102,6 +103,24 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def keep_rows(docs: DataFrame, start, beside=None) -> DataFrame:
+    """The rows, with all columns whatever their names, that a function of (texts, ``beside`` values) marks; ``start``
+    gives it once a task."""
+    bounded_batches(docs.sparkSession)
+    names, text_at = docs.columns, docs.columns.index("text")
+    plain = docs.select(*(c.alias(f"c{i}") for i, c in enumerate(columns(docs))), (F.lit(None).cast("boolean") if beside is None else beside).alias("beside"))
+    schema = StructType(plain.schema.fields[:-1])
+
+    def run(batches):
+        marked = start()
+        for batch in batches:
+            kept = pa.array(marked(batch.column(text_at), batch.column(len(names))), pa.bool_())
+            yield batch.select(list(range(len(names)))).filter(kept)
+        release()
+
+    return plain.mapInArrow(run, schema).toDF(*names)
+
+
 def release() -> None:
     """Gives memory that a group or partition took back to the system, as Python workers live on."""
     pa.default_memory_pool().release_unused()

@@ -1,25 +1,31 @@
 r"""Operator 6: benchmark decontamination with one Aho-Corasick automaton.
 
 Texts are normalised to words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` (A-Z lower-cased)
-joined by single spaces. Each window of WINDOW consecutive item words (a shorter
-item is one window) is a pattern; one automaton over all patterns scans each
-whole document once. Offsets of matches are mapped back to the original text.
-
-The patterns are held by every task, so their size is checked: items are cut
-into groups of at most MAX_PATTERN_BYTES of item text by running total, and
-each group has an automaton and a scan of its own; results are then merged.
+joined by single spaces. A window is WINDOW consecutive item words (a shorter item is
+one window). The automaton's patterns are the GRAM-word pieces of each item that start
+at every STEP-th word, and short items whole: any window holds one of its item's
+pieces (GRAM + STEP - 1 = WINDOW), so it need not hold every window, which takes a
+tenth of the nodes. One pass over a text finds the pieces; each is followed to both
+sides for as long as text and item agree, and where that is WINDOW words or more, all
+windows in it occur. Offsets are mapped back to the original text.
+
+Tasks get the items' text, which is checked: up to SHIPPED bytes go along with one
+scan of the documents; of more, every further SHIPPED bytes are one more pass that
+adds to the rows of the last one, without a shuffle. An automaton holds at most about
+MACHINE_BYTES of item text; where there are several, a task applies them in turn to
+the texts of up to CHUNK bytes that it has in hand.
 
 Defined cases: null or wordless texts have no words and no hits; null or
 wordless items, and items with null id, have no windows; repeated item ids count
 once; a window in several items counts for all of them; a document with very
-many overlapping matches is still scanned once; an empty benchmark hits nothing;
-other columns are ignored.
+many overlapping matches is still scanned once; very long texts are scanned whole;
+repeated rows and rows with null doc_id each have a result; an empty benchmark hits
+nothing; other columns are ignored, and kept by ``clean_stage`` whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,63 +34,102 @@ from pyspark.sql import functions as F
 
 from . import common
 
-WINDOW = 10
-#: Item text that one automaton may hold.
-MAX_PATTERN_BYTES = 256 << 10
+WINDOW, GRAM, STEP = 10, 6, 5
+#: Item text that goes along with a scan, that one automaton holds, and document text in hand at a time.
+SHIPPED, MACHINE_BYTES, CHUNK = 32 << 20, 1 << 20, 16 << 20
+
+SCHEMA = "doc_id long, n_words long, hit_words array<struct<start:long,end:long>>, items array<string>, spans array<struct<start:long,end:long>>"
 
-SCHEMA = "doc_id long, n_words long, hit_words array<struct<start:long,end:long>>, items array<string>, spans array<struct<start:long,end:long>>, text_md5 binary"
+Runs = list[tuple[int, int]]
 
 
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(common.PLAIN_WORDS).split()
 
 
-def windows(items: list[tuple[str, bytes]], width: int = WINDOW) -> dict[bytes, list[str]]:
-    """Pattern (words between single spaces) to the items that hold it."""
-    out: dict[bytes, set[str]] = {}
-    for item, text in items:
-        words = words_of(text)
-        for i in range(max(1, len(words) - width + 1) if words else 0):
-            out.setdefault(b" " + b" ".join(words[i : i + width]) + b" ", set()).add(item)
-    return {k: sorted(v) for k, v in out.items()}
-
-
-def automaton(patterns: dict[bytes, list[str]]):
-    """Bytes stand for characters of the same number, so offsets are byte offsets."""
-    import ahocorasick
-
-    out = ahocorasick.Automaton()
-    for pattern, items in patterns.items():
-        out.add_word(pattern.decode("latin-1"), (len(pattern), items))
-    if patterns:
+class Matcher:
+    """The items, in groups of about MACHINE_BYTES; the automaton of the only group is kept."""
+
+    def __init__(self, items: list[tuple[str, bytes]], width: int = WINDOW, machine_bytes: int = MACHINE_BYTES) -> None:
+        self.width, self.gram = width, max(1, width * GRAM // WINDOW)
+        self.step = width - self.gram + 1
+        by_words: dict[tuple[bytes, ...], set[str]] = {}
+        for item, text in items:
+            if words := tuple(words_of(text)):
+                by_words.setdefault(words, set()).add(item)
+        self.groups: list[list[tuple[tuple[bytes, ...], list[str]]]] = []
+        room = 0
+        for words, ids in by_words.items():
+            if room <= 0:
+                self.groups.append([])
+                room = machine_bytes
+            self.groups[-1].append((words, sorted(ids)))
+            room -= sum(map(len, words)) + len(words)
+        self.kept = None
+
+    def machine(self, k: int):
+        """Pieces to their places (item in the group, word); bytes stand for characters of the same number."""
+        import ahocorasick
+
+        if self.kept is not None:
+            return self.kept
+        out = ahocorasick.Automaton()
+        places: dict[str, list[tuple[int, int]]] = {}
+        for i, (words, _) in enumerate(self.groups[k]):
+            size = self.gram if len(words) >= self.width else len(words)
+            for at in range(0, len(words) - size + 1, self.step):
+                places.setdefault((b" " + b" ".join(words[at : at + size]) + b" ").decode("latin-1"), []).append((i, at))
+        for piece, where in places.items():
+            out.add_word(piece, (len(piece), where))
         out.make_automaton()
+        if len(self.groups) == 1:
+            self.kept = out
+        return out
+
+    def scan(self, texts: list[bytes]) -> list[tuple[int, Runs, set[str]]]:
+        """Number of words, maximal runs of hit words [start, end), items that occur, for each text."""
+        many = [words_of(t) for t in texts]
+        hits: list[Runs] = [[] for _ in texts]
+        found: list[set[str]] = [set() for _ in texts]
+        plain = [(b" " + b" ".join(w) + b" ").decode("latin-1") if w else "" for w in many]
+        for k, group in enumerate(self.groups):
+            machine = self.machine(k)
+            for d, text in enumerate(plain):
+                if text and (matches := list(machine.iter(text))):
+                    self._follow(matches, text, many[d], group, hits[d], found[d])
+        return [(len(w), merged(h), f) for w, h, f in zip(many, hits, found)]
+
+    def _follow(self, matches, text: str, words: list[bytes], group, hits: Runs, found: set[str]) -> None:
+        spaces = np.flatnonzero(np.frombuffer(text.encode("latin-1"), dtype=np.uint8) == 32)
+        firsts = np.searchsorted(spaces, [end - size + 1 for end, (size, _) in matches]).tolist()
+        done: dict[tuple[int, int], int] = {}  # item and its offset in the text: how far it was followed
+        for first, (_, (_, where)) in zip(firsts, matches):
+            for i, at in where:
+                if done.get((i, first - at), -1) > first:
+                    continue
+                item, ids = group[i]
+                a, b = first, first
+                while a > 0 and a - first + at > 0 and words[a - 1] == item[a - 1 - first + at]:
+                    a -= 1
+                while b < len(words) and b - first + at < len(item) and words[b] == item[b - first + at]:
+                    b += 1
+                done[(i, first - at)] = b
+                if b - a >= min(self.width, len(item)):
+                    hits.append((a, b))
+                    found.update(ids)
+
+
+def merged(runs: Runs) -> Runs:
+    out: Runs = []
+    for a, b in sorted(runs):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
     return out
 
 
-def scan(text: bytes, machine) -> tuple[int, list[tuple[int, int]], set[str]]:
-    """Number of words, maximal runs of hit words [start, end), items that occur."""
-    words = words_of(text)
-    runs: list[tuple[int, int]] = []
-    found: set[str] = set()
-    if not words or not len(machine):
-        return len(words), runs, found
-    plain = b" " + b" ".join(words) + b" "
-    matches = [(end - size + 1, end, items) for end, (size, items) in machine.iter(plain.decode("latin-1"))]
-    if matches:
-        spaces = np.flatnonzero(np.frombuffer(plain, dtype=np.uint8) == 32)
-        firsts = np.searchsorted(spaces, [m[0] for m in matches])
-        lasts = np.searchsorted(spaces, [m[1] for m in matches])
-        for _, _, items in matches:
-            found.update(items)
-        for a, b in sorted(zip(firsts.tolist(), lasts.tolist())):
-            if runs and a <= runs[-1][1]:
-                runs[-1] = (runs[-1][0], max(b, runs[-1][1]))
-            else:
-                runs.append((a, b))
-    return len(words), runs, found
-
-
-def original_spans(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+def original_spans(text: bytes, runs: Runs) -> Runs:
     """Code-point offsets in the original text of runs of words."""
     if not runs:
         return []
@@ -96,72 +141,73 @@ def original_spans(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int,
     return [(int(points[starts[a]]), int(points[ends[b - 1]])) for a, b in runs]
 
 
-def item_groups(benchmark: DataFrame, max_bytes: int = MAX_PATTERN_BYTES) -> Iterator[list[tuple[str, bytes]]]:
-    """Items in groups of bounded text, taken to the driver one group at a time."""
+def item_groups(benchmark: DataFrame, shipped: int = SHIPPED) -> Iterator[list[tuple[str, bytes]]]:
+    """Items in groups of about ``shipped`` bytes, taken to the driver one group at a time."""
     items = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("i"), F.encode("text", "UTF-8").alias("t"))
     total = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0)).alias("s")).first()["s"]
-    n = max(1, -(-2 * total // max_bytes)) if total > max_bytes else 1
+    n = max(1, -(-total // shipped))
     for k in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("i"), F.lit(n)) == k)
+        part = items if n == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
         group = [(r["i"], bytes(r["t"])) for r in part.collect()]
         if group or n == 1:
             yield group
 
 
-def _scan_group(docs: DataFrame, items: list[tuple[str, bytes]], width: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(windows(items, width))
-        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        as_span = lambda xs: [{"start": a, "end": b} for a, b in xs]
-        for batch in batches:
-            rows = []
-            for t in batch["_text"]:
-                text = t.as_py() or b""
-                n, runs, found = scan(text, machine)
-                rows.append((n, as_span(runs), sorted(found), as_span(original_spans(text, runs)), hashlib.md5(text).digest()))
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], span), pa.array([r[2] for r in rows], pa.list_(pa.string())), pa.array([r[3] for r in rows], span), pa.array([r[4] for r in rows], pa.binary())],
-                names=["doc_id", "n_words", "hit_words", "items", "spans", "text_md5"],
-            )
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.encode("text", "UTF-8").alias("_text")).mapInArrow(run, SCHEMA)
+def chunks(texts: list[bytes], bound: int) -> Iterator[list[bytes]]:
+    part: list[bytes] = []
+    size = 0
+    for t in texts:
+        part.append(t)
+        size += len(t)
+        if size >= bound:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
-def scan_documents(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, max_bytes: int = MAX_PATTERN_BYTES) -> DataFrame:
-    """doc_id, n_words, hit_words (runs of word numbers), items, spans (original code points), text_md5.
+def _matched(items: list[tuple[str, bytes]], width: int) -> Callable[[list[bytes]], list[tuple[int, Runs, set[str]]]]:
+    matcher = Matcher(items, width, MACHINE_BYTES)
+    return lambda texts: [row for part in chunks(texts, CHUNK) for row in matcher.scan(part)]
 
-    One row for each document. Where the items need several automata, each scans
-    the documents and the rows of a text are merged (repeated rows stay repeated).
-    """
-    common.bounded_batches(docs.sparkSession)
-    parts = [_scan_group(docs, items, width) for items in item_groups(benchmark, max_bytes)]
-    if len(parts) == 1:
-        return parts[0]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    flat = lambda c: F.array_sort(F.flatten(F.collect_list(c)))  # noqa: E731  one list for each group of items
-    merged = out.groupBy("doc_id", "n_words", "text_md5").agg(
-        F.array_distinct(flat("hit_words")).alias("hit_words"), F.array_distinct(flat("items")).alias("items"), F.array_distinct(flat("spans")).alias("spans"),
-        (F.count(F.lit(1)) / len(parts)).cast("int").alias("_n"),
-    )
-    return merged.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("doc_id", "n_words", "hit_words", "items", "spans", "text_md5")
 
+def _scan_group(rows: DataFrame, items: list[tuple[str, bytes]], width: int) -> DataFrame:
+    """What the items hit, added to hit_words and items of rows with _text."""
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-def _hit_count(runs):
-    """Words covered by runs sorted by start, which may overlap."""
-    state = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("to"))
-    return F.aggregate(
-        runs, state,
-        lambda s, r: F.struct((s["n"] + F.greatest(F.lit(0), r["end"] - F.greatest(s["to"], r["start"]))).alias("n"), F.greatest(s["to"], r["end"]).alias("to")),
-        lambda s: s["n"],
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = _matched(items, width)
+        for batch in batches:
+            texts = [t.as_py() or b"" for t in batch["_text"]]
+            n, hits, names, spans = [], [], [], []
+            for text, (words, runs, found), before, known in zip(texts, scan(texts), batch["hit_words"].to_pylist(), batch["items"].to_pylist()):
+                runs = merged([*runs, *((r["start"], r["end"]) for r in before)])
+                n.append(words)
+                hits.append([{"start": a, "end": b} for a, b in runs])
+                names.append(sorted({*found, *known}))
+                spans.append([{"start": a, "end": b} for a, b in original_spans(text, runs)])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["_text"], pa.array(n, pa.int64()), pa.array(hits, span), pa.array(names, pa.list_(pa.string())), pa.array(spans, span)], names=["doc_id", "_text", "n_words", "hit_words", "items", "spans"])
+        common.release()
+
+    return rows.select("doc_id", "_text", "hit_words", "items").mapInArrow(run, SCHEMA.replace("n_words", "_text binary, n_words"))
+
+
+def scan_documents(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, shipped: int = SHIPPED) -> DataFrame:
+    """doc_id, n_words, hit_words (runs of word numbers), items, spans (original code points) of each row."""
+    common.bounded_batches(docs.sparkSession)
+    out = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.encode("text", "UTF-8").alias("_text"),
+        F.array().cast("array<struct<start:long,end:long>>").alias("hit_words"), F.array().cast("array<string>").alias("items"),
     )
+    for items in item_groups(benchmark, shipped):
+        out = _scan_group(out, items, width)
+    return out.drop("_text")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_PATTERN_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, shipped: int = SHIPPED) -> DataFrame:
     """The digest of the contract: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    out = scan_documents(docs, benchmark, max_bytes=max_bytes)
-    n_hit = _hit_count(F.col("hit_words"))
+    out = scan_documents(docs, benchmark, shipped=shipped)
+    n_hit = F.aggregate("hit_words", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
     return out.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
@@ -169,22 +215,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, max_bytes: int = MAX_PA
 
 
 def clean_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents with a benchmark window go.
+    """Pipeline stage: documents with a benchmark window go; others, null and empty texts too, stay as they are.
 
-    A row is dropped where it is scanned, so there is no shuffle; with several
-    automata the scans follow one another, each on what the last one kept.
+    A row is dropped where it is scanned, so there is no shuffle.
     """
-    common.bounded_batches(spark)
     out = docs
     for items in item_groups(common.table(spark, sf_dir, "benchmark")):
-        out = _keep_clean(out, items)
-    return out
+        def start(items=items):
+            scan = _matched(items, WINDOW)
+            return lambda texts, _: [not runs for _, runs, _ in scan([(t or "").encode() for t in texts.to_pylist()])]
 
-
-def _keep_clean(docs: DataFrame, items: list[tuple[str, bytes]]) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(windows(items))
-        for batch in batches:
-            yield batch.filter(pa.array([not scan((t.as_py() or "").encode(), machine)[1] for t in batch["text"]], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+        out = common.keep_rows(out, start)
+    return out

@@ -18,11 +18,19 @@ Since a residual may be a long document, documents are decided in BANDS of
 falling size, and what a band took more or less than planned is made up by the
 next, smaller one. Chance comes from hashes of ids, so reruns agree.
 
-Only DataFrame functions are used: no Python runs on the executors.
+Equal rows (doc_id, text and source) are counted before anything moves and are one
+item with that many times the copies, so a text that a third of the rows repeat is
+no hot group. Its copies are dealt evenly over its rows.
+
+Only DataFrame functions are used: no Python runs on the executors. The table of
+targets has a row for each source; where the sources are at most MOST_SOURCES it is
+broadcast, so a source with a third of the rows is no hot key of a join; beyond that
+Spark joins by source and splits skewed partitions.
 
 Defined cases: null text has size 0 and takes 0; a source of size 0 has target
-0; null is a source of its own; equal rows are interchangeable; an empty table
-gives none; other columns are ignored in ``mix`` and kept in ``mix_stage``.
+0; null is a source of its own; null doc_id is a value like others; ties in size go
+by hash; very long texts are single items; an empty table gives none; other columns
+are ignored in ``mix`` and kept in ``mix_stage``, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,6 +44,8 @@ from . import common
 WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2.0
 #: Documents folded at a time, and the least sizes of the bands.
 FAN, BANDS = 48, (2048, 256, 48, 0)
+#: Sources up to which their plan is broadcast (under 100 bytes each), and rows made from one row at a time.
+MOST_SOURCES, MADE = 20_000, 4096
 SEED = 17
 
 
@@ -44,8 +54,8 @@ def size_of(text):
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
-    """source, source_size, target, one row for each source, from rows (source, size)."""
-    by = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
+    """source, source_size, target, one row for each source, from rows (source, size, times)."""
+    by = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("source_size"))
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))  # over sources, not rows
     weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), ((rank - 1) % len(WEIGHTS) + 1).cast("int")).cast("double")
     by = by.withColumn("_w", weight).withColumn("_cap", F.col("source_size") * F.lit(CAP))
@@ -58,7 +68,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     by = by.withColumn("_level", (total - before) / rest)
     level = F.max(F.when(F.col("_level") <= F.col("_cap") / F.col("_w") + F.col("_cap") * 1e-15, F.col("_level"))).over(everything)
     target = F.least(F.col("_cap"), F.coalesce(level * F.col("_w"), F.col("_cap")))
-    return by.select("source", "source_size", target.alias("target"), "_rows")
+    return by.select("source", "source_size", target.alias("target"))
 
 
 def _chance(*parts):
@@ -84,7 +94,7 @@ def _step(state, item):
     return F.struct(carry.withField("p", carry_p).alias("carry"), F.concat(state["done"], F.array(done.withField("p", done_p))).alias("done"))
 
 
-FIELDS = ("size", "h", "doc_id", "whole", "p")
+FIELDS = ("size", "h", "doc_id", "times", "whole", "p")
 
 
 def _fold(rows: DataFrame, groups, level: int) -> DataFrame:
@@ -100,12 +110,13 @@ def _fold(rows: DataFrame, groups, level: int) -> DataFrame:
 
 
 def round_copies(rows: DataFrame, work: common.Workspace) -> DataFrame:
-    """Adds ``copies`` to rows (source, source_size, target, size, h, doc_id)."""
+    """Adds ``copies`` (of all its equal rows) to rows (source, source_size, target, size, h, doc_id, times)."""
     spark, decided = rows.sparkSession, []
-    keep = ("source", "source_size", "target", "size", "h", "doc_id", "copies")
+    keep = ("source", "source_size", "target", "size", "h", "doc_id", "times", "copies")
     rows = rows.withColumn("_band", sum((F.col("size") < b).cast("int") for b in BANDS[:-1]))
-    sizes = rows.groupBy("source", "_band").agg(F.sum("size").alias("_size"), F.count(F.lit(1)).alias("_rows"))
+    sizes = rows.groupBy("source", "_band").agg(F.sum(F.col("size") * F.col("times")).alias("_size"), F.count(F.lit(1)).alias("_rows"))
     sizes = work.save(sizes, "bands")  # sources x bands rows
+    small = _small(sizes.select("source").distinct())
     most = sizes.groupBy("_band").agg(F.max("_rows").alias("n")).collect()
     for band, n in sorted((r["_band"], r["n"]) for r in most):
         left = sizes.where(F.col("_band") >= band).groupBy("source").agg(F.sum("_size").alias("_left"), F.max(F.when(F.col("_band") == band, F.col("_rows"))).alias("_n"))
@@ -118,61 +129,91 @@ def round_copies(rows: DataFrame, work: common.Workspace) -> DataFrame:
             taken = taken.groupBy("source").agg(F.sum("_took").alias("_took"))
             plan = left.join(taken.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
         plan = plan.withColumn("_took", F.coalesce(F.col("_took"), F.lit(0)) if taken is not None else F.lit(0)).withColumnRenamed("source", "_s")
-        mine = rows.where(F.col("_band") == band).join(plan, F.col("source").eqNullSafe(F.col("_s")))
+        mine = rows.where(F.col("_band") == band).join(small(plan), F.col("source").eqNullSafe(F.col("_s")))
         share = F.least(F.lit(CAP), F.greatest(F.lit(0.0), (F.col("target") - F.col("_took")) / F.col("_left")))
         mine = mine.withColumn("_share", F.when(F.col("_left") > 0, share).otherwise(0.0))
-        mine = mine.withColumn("whole", F.floor("_share").cast("int")).withColumn("p", F.col("_share") - F.col("whole"))
+        mine = mine.withColumn("_share", F.col("_share") * F.col("times"))
+        mine = mine.withColumn("whole", F.floor("_share").cast("long")).withColumn("p", F.col("_share") - F.col("whole"))
         groups, level = F.greatest(F.lit(1), F.ceil(F.col("_n") / FAN)), 0
         while True:
             step = work.save(_fold(mine.withColumn("_g2", groups), F.col("_g2"), level), f"band{band}_{level}")
-            decided.append(step.where("_done").withColumn("copies", F.col("whole") + F.round("p").cast("int")).select(*keep))
+            decided.append(step.where("_done").withColumn("copies", F.col("whole") + F.round("p").cast("long")).select(*keep))
             rest = step.where("NOT _done")
             n = -(-n // FAN)
             if n <= 1:
                 break
             mine, level = rest, level + 1
             groups = F.lit(max(1, -(-n // FAN)))
-        last = rest.withColumn("copies", F.col("whole") + (_chance("h", F.lit(band)) < F.col("p")).cast("int"))
+        last = rest.withColumn("copies", F.col("whole") + (_chance("h", F.lit(band)) < F.col("p")).cast("long"))
         decided.append(last.select(*keep))
     if not decided:
-        return spark.createDataFrame([], "source string, source_size long, target double, size long, h long, doc_id long, copies int")
+        return spark.createDataFrame([], "source string, source_size long, target double, size long, h long, doc_id long, times long, copies long")
     out = decided[0]
     for d in decided[1:]:
         out = out.unionByName(d)
     return out
 
 
+def _small(sources: DataFrame):
+    """A function that marks a table with a row for each source for broadcast where its size is proven small."""
+    return F.broadcast if sources.limit(MOST_SOURCES + 1).count() <= MOST_SOURCES else (lambda df: df)
+
+
 def _sized(docs: DataFrame, key) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of("text").alias("size"), key.alias("h"))
+    """A row for each doc_id, source and text with its number of equal rows."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of("text").alias("size"), key.alias("h"))
+    return rows.groupBy("doc_id", "source", "size", "h").agg(F.count(F.lit(1)).alias("times"))
 
 
 def plan_copies(docs: DataFrame, key, work: common.Workspace) -> DataFrame:
+    """source, source_size, target, size, h, doc_id, times, copies for each different row."""
     sized = work.save(_sized(docs, key), "sized")
     targets = work.save(source_targets(sized), "targets").withColumnRenamed("source", "_s")
-    rows = sized.join(targets, F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "_rows")
+    rows = sized.join(_small(targets.select("_s"))(targets), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     some = round_copies(rows.where("size > 0"), work)
-    none = rows.where("size <= 0").withColumn("copies", F.lit(0)).select(*some.columns)
+    none = rows.where("size <= 0").withColumn("copies", F.lit(0).cast("long")).select(*some.columns)
     return some.unionByName(none)
 
 
+def _each(rows: DataFrame, times: str, number: str) -> DataFrame:
+    """Each row ``times`` times, numbered from 0: long runs are dealt out in parts of MADE."""
+    part = f"{number}_part"
+    one = rows.where(F.col(times) == 1).withColumn(number, F.lit(0).cast("long"))
+    parts = rows.where(F.col(times) > 1).withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / MADE))))
+    here = F.least(F.col(times) - F.col(part) * MADE, F.lit(MADE))
+    return one.unionByName(parts.withColumn(number, F.explode(F.sequence(F.col(part) * MADE, F.col(part) * MADE + here - 1))).drop(part))
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken, source of every row."""
     work = common.Workspace(docs.sparkSession, "mixing")
-    out = plan_copies(docs, F.xxhash64("doc_id", "text"), work)
-    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "source")
+    plan = work.save(plan_copies(docs, F.xxhash64("doc_id", "text"), work), "plan")
+    rows = _each(plan, "times", "_n")
+    copies = F.floor(F.col("copies") / F.col("times")) + (F.col("_n") < F.col("copies") % F.col("times")).cast("long")
+    return rows.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).cast("long").alias("taken"), "source")
 
 
 def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: each row as many times as the mix takes it.
+    """Pipeline stage: each row as many times as the mix takes it; rows without words go, as they take nothing.
 
-    Equal keys (doc_id and text hash) are equal rows for the mix; their copies
-    are summed and dealt out again evenly, so nothing is lost or doubled.
+    Rows with the same doc_id, text and source are one item. Where its rows differ in other columns, its copies are
+    dealt over those variants in proportion to their rows, by running sums.
     """
     work = common.Workspace(spark, "mix_stage")
     key = F.xxhash64("doc_id", "text", "source")
-    copies = plan_copies(docs, key, work).groupBy("h").agg(F.sum("copies").alias("_c"), F.count(F.lit(1)).alias("_n"))
-    held = docs.withColumn("_h", key).join(copies.withColumnRenamed("h", "_k"), F.col("_h") == F.col("_k"))
-    number = F.when(F.col("_n") == 1, F.lit(1)).otherwise(F.row_number().over(Window.partitionBy("_h").orderBy("_h")))
-    extra = (number <= F.col("_c") % F.col("_n")).cast("int")
-    times = (F.floor(F.col("_c") / F.col("_n")) + extra).cast("int")
-    return held.withColumn("_t", times).where("_t > 0").withColumn("_e", F.explode(F.sequence(F.lit(1), F.col("_t")))).select(*docs.columns)
+    h, k, copies, times, rows_, until, before, number = common.unused(docs, "_h", "_k", "_copies", "_times", "_rows", "_until", "_before", "_number")
+    plan = plan_copies(docs, key, work).where("copies > 0").groupBy("h").agg(F.sum("copies").alias(copies), F.sum("times").alias(times)).withColumnRenamed("h", k)
+    plan = work.save(plan, "plan")
+    held = docs.withColumn(h, key)
+    columns = common.columns(docs)
+    alone = held.join(plan.where(F.col(times) == 1), F.col(h) == F.col(k))
+    out = alone.withColumn(number, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*columns)
+    repeated = plan.where(F.col(times) > 1)
+    if repeated.limit(1).count():
+        variants = held.join(repeated, F.col(h) == F.col(k), "left_semi").groupBy(h, *columns).agg(F.count(F.lit(1)).alias(rows_))
+        order = Window.partitionBy(h).orderBy(F.xxhash64(*columns), *columns)
+        summed = variants.withColumn(until, F.sum(rows_).over(order.rowsBetween(Window.unboundedPreceding, 0))).join(repeated, F.col(h) == F.col(k))
+        upto = lambda c: F.floor(F.col(copies) * c / F.col(times))
+        mine = summed.withColumn(before, upto(F.col(until)) - upto(F.col(until) - F.col(rows_))).where(F.col(before) > 0)
+        out = out.unionByName(_each(mine, before, number).select(*columns))
+    return out

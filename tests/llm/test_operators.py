@@ -153,9 +153,58 @@ def test_pack_round_trip_with_escapes():
     from claimlake.llm import ngram_join as j
 
     classes, sizes, counts = np.array([5, 9], dtype=np.uint64), np.array([70000, 3]), np.array([300, 2])
-    h = np.arange(302, dtype=np.uint64) << np.uint64(30)
-    c, n, got, marks = j._unpack(j._pack(classes, sizes, counts, h & j.LOW48, [7]))
-    assert (got == (h & j.LOW48)).all() and n.tolist() == [70000] * 300 + [3] * 2 and c.tolist() == [5] * 300 + [9] * 2 and marks.tolist() == [7]
+    h = np.arange(302, dtype=np.uint64) << np.uint64(55)
+    c, n, got = j._unpack(j._pack(classes, sizes, counts, h))
+    assert (got == h).all() and n.tolist() == [70000] * 300 + [3] * 2 and c.tolist() == [5] * 300 + [9] * 2
+
+
+@pytest.mark.parametrize("seed", range(2, 4))
+def test_ngram_join_common_shingles_and_distributed_components(spark, monkeypatch, seed):
+    from claimlake.llm import ngram_join as j
+
+    for name, value in {"HOT": 3, "COMMON": 5, "MOST_COMMON": 64, "FLUSH_ENTRIES": 900, "SMALL_EDGES": 0, "BLOCK_ROWS": 3, "GROUP_TOKENS": 300}.items():
+        monkeypatch.setattr(j, name, value)
+    texts = near_copies(seed, 120) + ODD
+    reports = j.document_sets(docs(spark, texts).repartition(2)).where("token IS NOT NULL")
+    assert 0 < len(j.common_shingles(reports)[0]) <= 64 < reports.select("token").distinct().count()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in j.link_documents(docs(spark, texts)).collect()}
+    assert got == dict(enumerate(brute_components(texts)))
+
+
+def test_block_links_join_up_what_links():
+    from claimlake.llm import ngram_join as j
+
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        base = rng.integers(0, 1 << 60, size=(4, 40), dtype=np.uint64)
+        sets = []
+        for _ in range(25):
+            one = base[rng.integers(4)].copy()
+            one[rng.integers(0, 40, 5)] = rng.integers(0, 1 << 60, 5)
+            sets.append(np.unique(one))
+        n, flat = np.array([len(s) for s in sets]), np.concatenate(sets)
+        parent = list(range(25))
+
+        def find(x, parent=parent):
+            return x if parent[x] == x else find(parent[x])
+
+        for i, k in j.block_links(n, np.cumsum(n) - n, flat):
+            both = len(np.intersect1d(sets[i], sets[k]))
+            assert 100 * both >= 75 * (n[i] + n[k] - both)
+            parent[find(i)] = find(k)
+        for i in range(25):
+            for k in range(i):
+                both = len(np.intersect1d(sets[i], sets[k]))
+                assert 100 * both < 75 * (n[i] + n[k] - both) or find(i) == find(k)
+
+
+def test_ngram_join_very_long_text_and_its_near_copy(spark):
+    from claimlake.llm import ngram_join as j
+
+    words = [f"w{i}" for i in range(120_000)]
+    near = [*words[:70_000], "odd", *words[70_001:]]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in j.link_documents(docs(spark, [" ".join(words), "short one", " ".join(near)])).collect()}
+    assert got == {0: (119_996, 0), 1: (1, 1), 2: (119_996, 0)}
 
 
 def test_keep_one(spark):
@@ -164,6 +213,9 @@ def test_keep_one(spark):
     texts = ["a b c d e f g h i j", "A b c d e f g h i j", "a b c d e f g h i j", "other words stand here now", None, ""]
     out = ngram_join.keep_one(spark, docs(spark, texts).union(docs(spark, texts).limit(1)), "")
     assert sorted(r.doc_id for r in out.collect()) == [0, 3, 4, 5] and out.columns == [c.split()[0] for c in DOCS.split(", ")]
+    rows = [(1, "a b c d e f"), (1, "A b c d e f"), (None, "a b c d e f"), (None, "no ids here"), (None, "no ids here"), (2, None), (2, None), (1, "another text of this id")]
+    out = ngram_join.keep_one(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(((r.doc_id, (r.text or "").lower()) for r in out.collect()), key=str) == sorted([(1, "a b c d e f"), (None, "no ids here"), (2, ""), (2, ""), (1, "another text of this id")], key=str)
 
 
 # --- 3 and 5 -------------------------------------------------------------
@@ -282,15 +334,38 @@ ITEMS = [(1, PASSAGE), (10, PASSAGE + " twice"), (2, "tiny item"), (3, None), (4
 SCANNED = [*ODD, f"pre {PASSAGE} post {PASSAGE.replace(' ', '   ')}", "a tiny  ITEM ab cab", PASSAGE[:40], "xab ab ab"]
 
 
-@pytest.mark.parametrize("max_bytes", [1 << 20, 40])
-def test_contamination_equals_brute_force(spark, max_bytes):
+@pytest.mark.parametrize("shipped, machine", [(1 << 20, 1 << 20), (1 << 20, 20), (40, 20)])
+def test_contamination_equals_brute_force(spark, monkeypatch, shipped, machine):
     from claimlake.llm import decontaminate
 
+    monkeypatch.setattr(decontaminate, "MACHINE_BYTES", machine)
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.contamination(docs(spark, SCANNED, extra=True), bench, max_bytes=max_bytes).collect()}
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.contamination(docs(spark, SCANNED, extra=True), bench, shipped=shipped).collect()}
     assert got == brute_contamination(SCANNED, ITEMS)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_matcher_equals_brute_force_on_random_words(seed):
+    from claimlake.llm import decontaminate
+
+    rng = random.Random(seed)
+    make = lambda n: [rng.choice("ab" if rng.random() < 0.7 else "cde") for _ in range(n)]
+    items = [(i, " ".join(make(rng.choice((3, 9, 10, 11, 17, 40))))) for i in range(25)]
+    texts = [" ".join(make(rng.randrange(60)) + rng.choice(items)[1].split()[rng.randrange(6) :] + make(rng.randrange(9))) for _ in range(40)]
+    matcher = decontaminate.Matcher([(str(i), t.encode()) for i, t in items], machine_bytes=60 if seed % 2 else 1 << 20)
+    want = brute_contamination(texts, items)
+    for i, (n, runs, found) in enumerate(matcher.scan([t.encode() for t in texts])):
+        assert (n, sum(b - a for a, b in runs), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()) == want[i][:4]
+
+
+def test_contamination_of_repeated_rows_null_ids_and_long_texts(spark):
+    from claimlake.llm import decontaminate
+
+    rows = [(1, PASSAGE)] * 3 + [(None, PASSAGE), (None, None), (2, "w " * 200_000 + PASSAGE)]
+    got = decontaminate.contamination(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(ITEMS, "item_id long, text string"), shipped=40).collect()
+    assert sorted(((r.doc_id or 0), r.n_words, r.n_hit) for r in got) == [(0, 0, 0), (0, 17, 17), (1, 17, 17), (1, 17, 17), (1, 17, 17), (2, 200_017, 17)]
+
+
 def test_spans_point_into_the_original(spark):
     from claimlake.llm import decontaminate
 
@@ -347,6 +422,24 @@ def test_mixing_empty_and_repeated_rows(spark):
     assert out.count() in (14, 15, 16) and out.columns == ["doc_id", "text", "source"]
 
 
+def test_mixing_of_hot_equal_rows_and_null_ids(spark):
+    from claimlake.llm import mixing
+
+    rows = [(None, "a b c", "x")] * 9000 + [(i, "w " * (i % 50), "y") for i in range(600)] + [(None, None, None)] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df).collect()
+    assert len(got) == len(rows) and Counter(r.source for r in got) == Counter(r[2] for r in rows)
+    sizes = {"x": 27000, "y": sum(i % 50 for i in range(600)), None: 0}
+    want = water_fill(sizes)
+    for s in sizes:
+        mine = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in mine) - want[s]) <= 60 and all(r.taken <= 2 * r.size for r in mine)
+    x = Counter(r.taken for r in got if r.source == "x")
+    assert max(x) - min(x) <= 3
+    kept = Counter((r.doc_id, r.text) for r in mixing.mix_stage(spark, df.withColumn("n", F.lit(1)), "").collect())
+    assert abs(3 * kept[(None, "a b c")] - want["x"]) <= 60 and (None, None) not in kept
+
+
 # --- 8 -------------------------------------------------------------------
 
 def test_shards_are_even_and_gapless(spark):
@@ -382,6 +475,36 @@ def test_rebalancing_moves_little_and_evens_out():
         assert max(sums) <= 1.05 * min(sums)
 
 
+def test_stored_slot_map_is_read_edited_and_versioned(spark, tmp_path):
+    from claimlake.llm import sharding
+
+    rng = random.Random(12)
+    folder = f"file://{tmp_path}/map"
+    texts = ["y" * rng.randrange(1, 400) for _ in range(1500)]
+    place = lambda n, k: {r.doc_id: (r.shard, r.vslot, r.size) for r in sharding.shard(docs(spark, texts[:n]), k, folder).collect()}
+    first, again, grown, more = place(1000, 8), place(1000, 8), place(1500, 8), place(1500, 9)
+    assert first == again and [sharding.stored_map(spark, folder)[0]] == [3]
+    assert all(grown[i][1] == first[i][1] == more[i][1] for i in first)  # a record's slot never changes
+    assert sum(grown[i][0] != first[i][0] for i in first) < 200 and sum(more[i][0] != grown[i][0] for i in grown) < 400
+    for placed, k in ((grown, 8), (more, 9)):
+        sums = [sum(z for s, _, z in placed.values() if s == x) for x in range(k)]
+        assert max(sums) <= 1.05 * min(sums)
+
+
+def test_repeated_rows_spread_over_shards(spark):
+    from claimlake.llm import sharding
+
+    rows = [(1, "same text")] * 3000 + [(None, None)] * 200 + [(i, f"text {i}") for i in range(500)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by: dict = {}
+    for r in got:
+        by.setdefault(r.shard, []).append(r)
+    assert len(got) == len(rows) and all(sorted(x.slot for x in v) == list(range(len(v))) for v in by.values())
+    loads = [sum(x.size for x in v) for v in by.values()]
+    assert len(loads) == 16 and max(loads) <= 1.5 * min(loads)
+    assert Counter((r.doc_id, r.size) for r in got)[(1, 10)] == 3000
+
+
 # --- 9 -------------------------------------------------------------------
 
 def brute_repeats(texts, span=200):
@@ -472,7 +595,7 @@ def test_language_id_learns_every_language(spark):
     rows = [(i, " ".join(rng.choice(vocab[l]) for _ in range(60)), l) for i, l in enumerate(names * 12)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = language_id.fit(df)
-    assert {l for l, _ in model} == set(names)
+    assert {l for l, _ in model.parts} == set(names)
     judged = [r for r in language_id.predict(df, model).collect() if r.held_out]
     truth = {i: l for i, _, l in rows}
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in judged]) > 0.97
@@ -483,6 +606,6 @@ def test_language_id_picks_rows_that_have_text(spark):
 
     rows = [(i, None, "aa") for i in range(600)] + [(600 + i, "ab cd ef", "aa") for i in range(6)] + [(700 + i, "xy zz", "bb") for i in range(6)] + [(800 + i, "12 3", "cc") for i in range(6)] + [(900 + i, "q", "dd") for i in range(6)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    model = dict(language_id.fit(df))
+    model = dict(language_id.fit(df).parts)
     assert set(model) == {"aa", "bb", "dd"} and b"ab cd ef" in model["aa"]
     assert language_id.identify(df).count() == len(rows)
