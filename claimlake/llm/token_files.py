@@ -16,11 +16,14 @@ They are read with the ``binaryFile`` source.
 
 Documents are in ascending doc_id order (null first, ties by content digest):
 texts are range-partitioned once, before encoding. A doc_id that very many rows
-share is spread over partitions by the digest.
+share is spread over partitions by the digest, and equal rows by the partition they
+were read from. The text sink writes a row's bytes as they are, which this format
+relies on (a round trip is tested).
 
 Encoding: byte-level BPE pieces never cross a space that stands between two
 other non-space characters, so words are encoded once for each task's memo and
-joined (checked against the tokenizer's settings; else whole texts are encoded).
+joined (checked against the tokenizer's settings; else whole texts are encoded). A
+word's letters are a piece apart from the marks after it and are remembered apart.
 
 Defined cases: null and empty texts have only the end id; repeated rows are
 written repeatedly; an empty table writes files without frames and returns none;
@@ -51,9 +54,9 @@ WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], dtype=np.int
 ESCAPE = 15
 BLOCK = 256
 #: Ids after which a frame is closed, and words that a task remembers.
-FRAME_IDS, MEMO_WORDS = 1 << 18, 1_200_000
-#: Text bytes aimed at for each file.
-FILE_BYTES = 32 << 20
+FRAME_IDS, MEMO_WORDS = 1 << 18, 1_000_000
+#: Text bytes aimed at for each file: the least, and the most, which is used so that files stay under MOST_FILES.
+FILE_BYTES, FULL_BYTES, MOST_FILES = 32 << 20, 1 << 30, 100_000
 END_ID = 2
 HEAD = struct.Struct("<4sIQQII")
 
@@ -204,18 +207,49 @@ def frames(content: bytes) -> Iterator[tuple[int, list[int | None], np.ndarray,
 
 
 class Memo(dict):
-    """Ids (little-endian u32 bytes) of words after ``lead``, found by the library where missing."""
+    """Ids (little-endian u32 bytes) of words after ``lead``, found by the library where missing.
+
+    A word of letters and then marks is two pieces for the tokenizer, so the letters are remembered by themselves and
+    go to the library's model as the one piece they are.
+    """
+
+    MARKS = ".,;:!?"
+    #: Characters below this have kept their categories since long before any library's tables.
+    SETTLED = "\u0250"
+    #: Longer words seldom come again.
+    LIM = 14
 
     def __init__(self, encoder: Encoder, lead: str) -> None:
         self.encoder, self.lead = encoder, lead
+        self.ends: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        out = self.encoder.piece(self.lead + word)
-        if len(word) <= 48:  # long words don't come again
+        core = word.rstrip(self.MARKS)
+        if core.isalpha() and (core.isascii() or max(core) < self.SETTLED):
+            if core is word or core == word:
+                out = self.encoder.letters(self.lead, core)
+            else:
+                end = word[len(core) :]
+                if end not in self.ends:
+                    self.ends[end] = self.encoder.piece(end)
+                out = self[core] + self.ends[end]
+        else:
+            out = self.encoder.piece(self.lead + word)
+        if len(word) <= self.LIM:
             self[word] = out
         return out
 
 
+def _shown() -> dict[int, int]:
+    """The character that byte-level BPE shows for each byte: printable ones as they are, others from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
+
+
+SHOWN = _shown()
+
+
 class Encoder:
     """Ids of whole texts by one tokenizers file, without added tokens, as little-endian u32 bytes."""
 
@@ -244,6 +278,11 @@ class Encoder:
             ids = [x.id for part, _ in self.split.pre_tokenize_str(text) for x in self.model.tokenize(part)]
         return array("I", ids).tobytes()
 
+    def letters(self, lead: str, text: str) -> bytes:
+        """Ids of letters, after a space or not: one piece, in the spelling of byte-level BPE."""
+        shown = ("\u0120" if lead else "") + (text if text.isascii() else text.encode().decode("latin-1").translate(SHOWN))
+        return array("I", [x.id for x in self.model.tokenize(shown)]).tobytes()
+
     def words(self, text: str) -> list[str]:
         odd = "  " in text or text[:1] == " " or text[-1:] == " " or any(f" {c}" in text or f"{c} " in text for c in self.SPACES if c in text)
         return self.CUT.split(text) if odd else text.split(" ")
@@ -277,10 +316,11 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out_path: str, end_id: in
     """Write the token files of all documents, in ascending doc_id order over part files."""
     common.bounded_batches(docs.sparkSession)
     total = docs.agg(F.sum(common.text_bytes("text"))).first()[0] or 0
-    files = max(1, -(-total // file_bytes))
+    files = max(1, -(-total // max(file_bytes, min(FULL_BYTES, total // MOST_FILES))))
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("_h"), text.alias("_text"))
-    ordered = keyed.repartitionByRange(files, F.col("doc_id").asc_nulls_first(), "_h").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_h", "_text")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("_h"), F.spark_partition_id().alias("_p"), text.alias("_text"))
+    order = (F.col("doc_id").asc_nulls_first(), F.col("_h"), F.col("_p"))
+    ordered = keyed.repartitionByRange(files, *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.single_thread()
@@ -307,6 +347,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out_path: str, end_id: in
                     doc_ids, lengths, parts, held = [], [], [], 0
         if doc_ids:
             yield out()
+        common.release()
 
     ordered.select("doc_id", "_text").mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\n").text(out_path)
 

@@ -153,16 +153,21 @@ def test_pack_round_trip_with_escapes():
     from claimlake.llm import ngram_join as j
 
     classes, sizes, counts = np.array([5, 9], dtype=np.uint64), np.array([70000, 3]), np.array([300, 2])
-    h = np.arange(302, dtype=np.uint64) << np.uint64(55)
-    c, n, got = j._unpack(j._pack(classes, sizes, counts, h))
-    assert (got == h).all() and n.tolist() == [70000] * 300 + [3] * 2 and c.tolist() == [5] * 300 + [9] * 2
+    for buckets in (3, 256, 5000):
+        bucket = buckets - 2
+        first = -(-(bucket << 32) // buckets) << 32
+        h = np.random.default_rng(1).integers(first, first + (1 << 32) // buckets * (1 << 32), size=302, dtype=np.uint64)
+        c, n, got = j._unpack(j._pack(classes, sizes, counts, h))
+        assert n.tolist() == [70000] * 300 + [3] * 2 and c.tolist() == [5] * 300 + [9] * 2
+        wide = j._widened(got, first)
+        assert len(np.unique(wide)) == 302 and (buckets < 256 or (wide == h).all())
 
 
 @pytest.mark.parametrize("seed", range(2, 4))
 def test_ngram_join_common_shingles_and_distributed_components(spark, monkeypatch, seed):
     from claimlake.llm import ngram_join as j
 
-    for name, value in {"HOT": 3, "COMMON": 5, "MOST_COMMON": 64, "FLUSH_ENTRIES": 900, "SMALL_EDGES": 0, "BLOCK_ROWS": 3, "GROUP_TOKENS": 300}.items():
+    for name, value in {"HOT": 3, "COMMON": 5, "MOST_COMMON": 64, "FLUSH_ENTRIES": 900, "SMALL_EDGES": 0, "BLOCK_ROWS": 3, "GROUP_TOKENS": 300, "PART_ENTRIES": 400}.items():
         monkeypatch.setattr(j, name, value)
     texts = near_copies(seed, 120) + ODD
     reports = j.document_sets(docs(spark, texts).repartition(2)).where("token IS NOT NULL")
@@ -272,6 +277,39 @@ def test_token_files_round_trip(spark):
     assert token_files.token_index(spark.createDataFrame([], DOCS), path).count() == 0
 
 
+def test_encoder_equals_the_library_on_odd_words():
+    from tokenizers import Tokenizer
+
+    from claimlake.llm import queries, token_files
+
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    library, encoder = Tokenizer.from_file(path), token_files.Encoder(path, memo_words=400)
+    rng = random.Random(13)
+    bits = ["a", "Be", "lé", "ñ", "ß", "İ", "ŉ", "日", "7", "²", "ª", ".", ",", "!?", "'s", "'", "…", "-", "_", "\n", "\t", "<|endoftext|>", "\u00ad", "\u0301", "\u200b", "x" * 60]
+    texts = [" ".join("".join(rng.choice(bits) for _ in range(rng.randrange(1, 5))) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    got = [np.frombuffer(x, dtype="<u4").tolist() for i in range(0, 3000, 50) for x in encoder.ids(texts[i : i + 50])]
+    assert encoder.by_word and got == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_token_files_of_repeated_rows_null_ids_ties_and_long_texts(spark):
+    from tokenizers import Tokenizer
+
+    from claimlake.llm import queries, token_files
+
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    rows = [(4, "same text")] * 40 + [(None, "no id"), (None, None), (4, "other"), (5, "word " * 60_000 + "\n\r\n" + "\x85\u2028z"), (3, "first")]
+    got = token_files.token_index(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), path).collect()
+    tok = Tokenizer.from_file(path)
+    count = lambda t: len(tok.encode(t or "", add_special_tokens=False).ids) + 1
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == sorted((i or 0, count(t)) for i, t in rows)
+    at, ids = 0, []
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+        ids.append(r.doc_id or 0)
+    assert ids == sorted(ids)
+
+
 # --- 4 -------------------------------------------------------------------
 
 def test_ordinal_regression_orders_grades_and_flags(spark):
