@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 import re
 import uuid
@@ -59,6 +60,11 @@ class Workspace:
     def load(self, df: DataFrame, label: str) -> DataFrame:
         return self.spark.read.schema(df.schema).parquet(self.path(label))
 
+    def free_shuffles(self) -> None:
+        """Let Spark's cleaner remove the shuffle files of finished jobs now, not at the driver's next collection."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *labels: str) -> None:
         """Delete tables that nothing reads any more."""
         jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()

@@ -36,7 +36,7 @@ LEAST_DOCS, LEAST_BYTES = 4, 2 << 10
 CHUNK, LEVELS = 8192, (3, 6, 9)
 #: Of the sampled texts one of EVERY is left out for the choice of level and margin, TRIALS for a language at most;
 #: the least accepted margin is SLACK times the right answers' margin at QUANTILE.
-EVERY, TRIALS, QUANTILE, SLACK = 4, 40, 0.005, 0.25
+EVERY, TRIALS, CLOSE, QUANTILE, SLACK = 4, 40, 0.02, 0.005, 0.25
 
 #: What is between letters.
 GAP = re.compile(r"[\W\d_]+")
@@ -88,8 +88,8 @@ class Model:
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> Model:
     """Dictionaries for every language that has a text with a letter; level and margin by texts left out of them.
 
-    One sampled text of EVERY is left out in turn, told apart with each of LEVELS, and the level with the most right
-    answers stays (the faster on ties). Of the margins of its right answers, the one at QUANTILE, times SLACK, is the
+    One sampled text of EVERY is left out and told apart with each of LEVELS, and the fastest level stays whose right
+    answers are within CLOSE of the most. Of the margins of its right answers, the one at QUANTILE, times SLACK, is the
     least that is accepted.
     """
     sampled = sample_texts(docs, sample_docs, dict_bytes)
@@ -99,15 +99,14 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_
     tests = [(lang, t) for lang, texts in sampled for t in texts[: EVERY * TRIALS : EVERY] if len(texts) > 1]
     if len(sampled) < 2 or not tests:
         return Model(full)
-    best: tuple[int, int, list[float]] | None = None
+    tried = []
     for level in LEVELS:
         coders = compressors(few, level)
         told = [(lang, decide(sizes(t, coders), few)) for lang, t in tests]
-        right = [margin for lang, (said, margin) in told if said == lang]
-        if best is None or len(right) > best[0]:
-            best = (len(right), level, sorted(right))
-    margin = best[2][int(QUANTILE * len(best[2]))] * SLACK if best[2] else 0.0
-    return Model(full, best[1], margin)
+        tried.append((level, sorted(margin for lang, (said, margin) in told if said == lang)))
+    most = max(len(right) for _, right in tried)
+    level, right = next((level, right) for level, right in tried if len(right) >= (1 - CLOSE) * most)
+    return Model(full, level, right[int(QUANTILE * len(right))] * SLACK if right else 0.0)
 
 
 def plain(text: str) -> bytes:

@@ -57,8 +57,10 @@ from pyspark.sql.window import Window
 from . import common, shingles
 
 THRESHOLD = 75
-#: Entries of a bucket aimed at, entries a map task packs at a time.
-BUCKET_ENTRIES, FLUSH_ENTRIES = 1_000_000, 1_000_000
+#: Entries of a bucket aimed at, entries of it unpacked at a time, entries a map task packs at a time.
+BUCKET_ENTRIES, PART_ENTRIES, FLUSH_ENTRIES = 4_000_000, 1_000_000, 1_000_000
+#: Bytes of a hash in a blob; the bucket's number adds its bits to them.
+HASH_BYTES = 7
 #: Entries of a shingle in one flush above which it is reported, the least sum that makes it common, and how many
 #: common ones tasks may know (16 bytes each).
 HOT, COMMON, MOST_COMMON = 16, 1024, 1 << 20
@@ -126,37 +128,42 @@ def common_shingles(reports: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             break
     rows = summed.where(F.col("times") >= least).toArrow()
     tokens, times = rows["token"].to_numpy().view(np.uint64), rows["times"].to_numpy().astype(np.int64)
-    order = np.argsort(tokens)
+    # They are told apart by the bytes that blobs keep; of two that agree in these, one counts as not common.
+    width = _U(64 - 8 * HASH_BYTES)
+    _, first = np.unique(tokens << width, return_index=True)
+    order = first[np.argsort(tokens[first])]
     return tokens[order], times[order]
 
 
 def _pack(classes, sizes, counts, hashes) -> bytes:
     """Entries of one bucket: each class with its shingles.
 
-    A class costs 11 bytes (digest, size up to 65534 or an escape, entries up to 254 or an escape), an entry 8.
+    A class costs 11 bytes (digest, size up to 65534 or an escape, entries up to 254 or an escape), an entry HASH_BYTES.
     """
     sizes, counts = np.asarray(sizes), np.asarray(counts)
     big, many = sizes >= 0xFFFF, counts >= 0xFF
     return b"".join([
         np.array([len(classes), len(hashes), big.sum(), many.sum()], dtype="<u4").tobytes(), np.asarray(classes).astype("<u8").tobytes(),
         np.where(big, 0xFFFF, sizes).astype("<u2").tobytes(), np.where(many, 0xFF, counts).astype("u1").tobytes(), sizes[big].astype("<u8").tobytes(), counts[many].astype("<u4").tobytes(),
-        hashes.astype("<u8").tobytes(),
+        hashes.astype("<u8").view("u1").reshape(-1, 8)[:, :HASH_BYTES].tobytes(),
     ])
 
 
 def _unpack(blob: bytes):
-    """(classes, sizes, hashes) of the entries."""
+    """(classes, sizes, low HASH_BYTES of the hashes) of the entries."""
     n, m, big, many = np.frombuffer(blob, dtype="<u4", count=4).tolist()
     at = 16
     out = []
-    for kind, size in (("<u8", n), ("<u2", n), ("u1", n), ("<u8", big), ("<u4", many), ("<u8", m)):
+    for kind, size in (("<u8", n), ("<u2", n), ("u1", n), ("<u8", big), ("<u4", many), ("u1", HASH_BYTES * m)):
         part = np.frombuffer(blob, dtype=kind, count=size, offset=at)
         at += part.nbytes
         out.append(part)
-    classes, small, few, large, lots, hashes = out
+    classes, small, few, large, lots, low = out
+    hashes = np.zeros((m, 8), dtype="u1")
+    hashes[:, :HASH_BYTES] = low.reshape(m, HASH_BYTES)
     sizes, counts = small.astype(np.uint32), few.astype(np.int64)
     sizes[small == 0xFFFF], counts[few == 0xFF] = large, lots
-    return np.repeat(classes, counts), np.repeat(sizes, counts), hashes
+    return np.repeat(classes, counts), np.repeat(sizes, counts), hashes.view("<u8").ravel()
 
 
 def _entries(docs: DataFrame, buckets: int, known: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -166,6 +173,7 @@ def _entries(docs: DataFrame, buckets: int, known: tuple[np.ndarray, np.ndarray]
     def home_of(classes: np.ndarray) -> np.ndarray:
         return shingles.mix(classes) % _U(buckets)
 
+
     def parts(owner: np.ndarray, h: np.ndarray, bucket: np.ndarray, classes: np.ndarray, sizes: np.ndarray, base: int) -> Iterator[tuple[int, bytes]]:
         order = np.argsort(bucket, kind="stable")
         owner, h, bucket = owner[order], h[order], bucket[order]
@@ -216,41 +224,77 @@ def _fresh(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
+def _widened(h: np.ndarray, first: int) -> np.ndarray:
+    """Hashes whose low HASH_BYTES are h, told from those of other buckets by the top byte of their bucket's first hash.
+
+    A bucket of 256 or more buckets spans less than the top byte's step, so there the whole hash comes back; with fewer
+    buckets the kept bits and the bucket tell shingles apart: 61 bits from 32 buckets on.
+    """
+    top = _U(first >> (8 * HASH_BYTES) << (8 * HASH_BYTES))
+    out = h | top
+    carry = out < _U(first)
+    if (first >> (8 * HASH_BYTES)) < 255:
+        out[carry] += _U(1 << (8 * HASH_BYTES))
+    return out
+
+
 def _shared(entries: DataFrame, buckets: int, known: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """(home, blob): entries whose shingle two classes or more have, dealt by class."""
     tokens, times = known
+    width = _U(64 - 8 * HASH_BYTES)
+    low = tokens << width >> width
+    order = np.argsort(low)
+    low, whole, often = low[order], tokens[order], times[order]
+
+    def shared_of(c: np.ndarray, n: np.ndarray, h: np.ndarray):
+        """Entries of hashes that several classes have, once each, and the hashes' frequencies."""
+        order = np.argsort(h)
+        fresh = _fresh(h[order])
+        several = ~fresh | np.concatenate([~fresh[1:], [False]])
+        order = order[several]
+        c, n, h = c[order], n[order], h[order]
+        order = np.lexsort((c, h))
+        c, n, h = c[order], n[order], h[order]
+        fresh = _fresh(h, c)
+        c, n, h = c[fresh], n[fresh], h[fresh]
+        cuts = np.flatnonzero(_fresh(h))
+        counts = np.diff(np.concatenate([cuts, [len(h)]]))
+        df = np.repeat(counts, counts)
+        kept = df >= 2
+        return c[kept], n[kept], h[kept], df[kept]
 
     def run(group: pa.Table) -> pa.Table:
-        direct = group["bucket"][0].as_py() - buckets
-        parts = [_unpack(x.as_py()) for x in group["blob"]]
-        c, n, h = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        del parts
-        if direct >= 0:
-            df = times[np.searchsorted(tokens, h)]
+        bucket = group["bucket"][0].as_py()
+        blobs = [x.as_buffer() for x in group["blob"]]
+        found = []
+        if bucket >= buckets:
+            for blob in blobs:
+                c, n, h = _unpack(blob)
+                at = np.searchsorted(low, h)
+                found.append((c, n, whole[at], often[at]))
         else:
-            order = np.argsort(h)
-            ranked = h[order]
-            fresh = _fresh(ranked)
-            several = ~fresh | np.concatenate([~fresh[1:], [False]])
-            order = order[several]
-            del ranked, fresh, several
-            c, n, h = c[order], n[order], h[order]
-            order = np.lexsort((c, h))
-            c, n, h = c[order], n[order], h[order]
-            fresh = _fresh(h, c)
-            c, n, h = c[fresh], n[fresh], h[fresh]
-            cuts = np.flatnonzero(_fresh(h))
-            counts = np.diff(np.concatenate([cuts, [len(h)]]))
-            df = np.repeat(counts, counts)
-            kept = df >= 2
-            c, n, h, df = c[kept], n[kept], h[kept], df[kept]
+            # The bucket is unpacked in parts of its hash space, so what is held besides the blobs is bounded.
+            entries = sum(int(np.frombuffer(b, dtype="<u4", count=2)[1]) for b in blobs)
+            parts = max(1, -(-entries // PART_ENTRIES))
+            for part in range(parts):
+                kept = []
+                for blob in blobs:
+                    c, n, h = _unpack(blob)
+                    mine = slice(None) if parts == 1 else np.flatnonzero(shingles.mix(h) % _U(parts) == part)
+                    kept.append((c[mine], n[mine], h[mine]))
+                c, n, h, df = shared_of(*(np.concatenate([k[i] for k in kept]) for i in range(3)))
+                del kept
+                top = -(-(bucket << 32) // buckets) << 32  # the bucket's first hash
+                found.append((c, n, _widened(h, top), df))
+        c, n, h, df = (np.concatenate([f[i] for f in found]) for i in range(4))
+        del found, blobs
         home = (shingles.mix(c) % _U(buckets)).astype(np.int64)
         order = np.argsort(home, kind="stable")
         c, n, h, df, home = c[order], n[order], h[order], df[order], home[order]
         cuts = np.flatnonzero(_fresh(home))
-        blobs = [b"".join([c[a:b].astype("<u8").tobytes(), h[a:b].astype("<u8").tobytes(), df[a:b].astype("<u8").tobytes(), n[a:b].astype("<u4").tobytes()]) for a, b in zip(cuts, [*cuts[1:], len(home)])]
-        out = pa.table({"home": pa.array(home[cuts], pa.int64()), "blob": pa.array(blobs, pa.binary())})
-        del c, n, h, df, home, order, blobs
+        rows = [b"".join([c[a:b].astype("<u8").tobytes(), h[a:b].astype("<u8").tobytes(), df[a:b].astype("<u8").tobytes(), n[a:b].astype("<u4").tobytes()]) for a, b in zip(cuts, [*cuts[1:], len(home)])]
+        out = pa.table({"home": pa.array(home[cuts], pa.int64()), "blob": pa.array(rows, pa.binary())})
+        del c, n, h, df, home, order, rows
         common.release()
         return out
 
@@ -562,6 +606,7 @@ def linked_sets(docs: DataFrame, work: common.Workspace) -> DataFrame:
     total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_ENTRIES))
     active = work.save(_active(_shared(_entries(docs, buckets, known), buckets, known)), "active")
+    work.free_shuffles()
     return _name(sets, _connect(work, active, buckets))
 
 
