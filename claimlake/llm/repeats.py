@@ -2,7 +2,7 @@
 
 Every byte covered by a SPAN-byte string that also starts elsewhere (in any
 document, overlaps included) is removed (``keep="none"``, the contract), or only
-in later copies, so the first one stays (``keep="first"``).
+where it started before (``keep="first"``: the first copy stays).
 
 One suffix array of the corpus is not needed: two equal strings of SPAN bytes
 also hold the same smallest GRAM-byte gram (its hash; leftmost among equals), at
@@ -14,22 +14,23 @@ the same offset. So windows are split by the hash of that anchor:
    partial sums, so a very common anchor is no hot key.
 3. The bytes of the remaining runs are cut from the texts (which move once), and
    dealt by anchor hash; each anchor's occurrences are salted into blocks.
-4. A task sorts the suffixes of its runs, cut at SPAN bytes, by prefix doubling.
-   Ties are in text order, so the previous and next smaller position of a suffix
-   within its stretch of equal SPAN-byte prefixes are its neighbours; they give
-   the longest previous factor and, for the other direction, the next one. A
-   window repeats where one of them reaches SPAN.
-5. Anchors that were salted over several blocks get a second step: windows that
-   are alone in their block are compared with the other blocks by a 128-bit
-   digest with partial sums.
+4. A task sorts the suffixes of its runs, cut at SPAN bytes, by prefix doubling,
+   and finds what neighbours share. Previous and next smaller positions in suffix
+   order give each start's longest previous factor (how much of it started before)
+   and, with positions reversed, its longest next factor. A window started before
+   where the former reaches SPAN, and repeats where one of them does.
+5. Anchors that were salted over several blocks get a second step: the first
+   windows of each block are compared with the other blocks by a 128-bit digest,
+   with partial sums and least positions.
 
 Exact copies of documents are found first by content digest. Documents of SPAN
 bytes or more with a copy are covered whole; one of them stands in for all in
 the steps above.
 
 Defined cases: null text is empty; texts under SPAN bytes keep everything unless
-they are long enough to hold a window; null doc_id and repeated rows keep their
-rows; an empty table gives none; other columns are ignored.
+they are long enough to hold a window; very long texts are worked on in pieces of
+PIECE bytes that overlap; ties have no part in it; null doc_id and repeated rows keep
+their rows; an empty table gives none; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import common, shingles
 
@@ -97,60 +99,80 @@ def anchor_runs(text: bytes, span: int = SPAN, gram: int = GRAM) -> tuple[np.nda
 
 
 def suffix_order(data: np.ndarray, starts: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
-    """(order, equal): suffixes at ``starts`` sorted by their first ``span`` bytes, ties by place in
-    ``starts``, and whether each has the same ``span`` bytes as the one before it in the order.
+    """(order, lcp): suffixes at ``starts`` sorted by their first ``span`` bytes, ties by place in ``starts``, and how
+    many bytes (up to ``span``) each shares with the one before it in the order.
 
-    Prefix doubling: ranks of 8 bytes, then of 16, 32, ..., the last step overlapping.
+    Prefix doubling: ranks of 8 bytes, then of 16, 32, ..., the last step overlapping. Common bytes are found from the
+    same ranks, the longest first, and at last byte by byte.
     """
     n = len(data)
     padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
     key = np.lib.stride_tricks.as_strided(padded, shape=(n, 8), strides=(1, 1)).copy().view(">u8").ravel().astype(np.uint64)
     size = 8
-    rank = _dense(key)
+    ranks = [(size, _dense(key))]
     while size * 2 <= span:
+        rank = ranks[-1][1]
         after = np.zeros(n, dtype=np.uint64)
         after[: n - size] = rank[size:]
-        rank = _dense((rank << _U(32)) | after)
+        after |= rank.astype(np.uint64) << _U(32)
         size *= 2
-    rest = span - size
-    key = rank[starts] << _U(32)
+        ranks.append((size, _dense(after)))
+    rank, rest = ranks[-1][1], span - size
+    key = rank[starts].astype(np.uint64) << _U(32)
     if rest:
         key |= rank[starts + rest]
     order = np.argsort(key, kind="stable")
-    ranked = key[order]
-    return order, np.concatenate([[False], ranked[1:] == ranked[:-1]])
+    a, b = starts[order[:-1]], starts[order[1:]]
+    same = np.zeros(max(0, len(order) - 1), dtype=np.int64)
+    for size, rank in reversed(ranks):
+        live = np.flatnonzero(same + size <= span)
+        same[live[rank[a[live] + same[live]] == rank[b[live] + same[live]]]] += size
+    live = np.flatnonzero(same < span)
+    for _ in range(7):
+        live = live[(same[live] < span) & (padded[a[live] + same[live]] == padded[b[live] + same[live]])]
+        same[live] += 1
+    return order, np.concatenate([np.zeros(min(1, len(order)), dtype=np.int64), same])
 
 
 def _dense(key: np.ndarray) -> np.ndarray:
     order = np.argsort(key)
     ranked = key[order]
-    out = np.empty(len(key), dtype=np.uint64)
-    out[order] = np.cumsum(np.concatenate([[0], ranked[1:] != ranked[:-1]])).astype(np.uint64)
+    out = np.empty(len(key), dtype=np.uint32)
+    out[order] = np.cumsum(np.concatenate([[0], ranked[1:] != ranked[:-1]])).astype(np.uint32)
     return out
 
 
-def factors(text: bytes) -> np.ndarray:
-    """The longest-previous-factor array of a short text: LPF[i] is the longest prefix of text[i:]
-    that also starts before i, from previous and next smaller positions in suffix order."""
-    n = len(text)
-    order = sorted(range(n), key=lambda i: text[i:])
-
-    def shared(a: int, b: int) -> int:
-        k = 0
-        while max(a, b) + k < n and text[a + k] == text[b + k]:
-            k += 1
-        return k
-
-    out = np.zeros(n, dtype=np.int64)
-    for sequence in (order, order[::-1]):  # previous smaller, then next smaller
-        stack: list[int] = []
-        for i in sequence:
-            while stack and stack[-1] > i:
-                stack.pop()
-            if stack:
-                out[i] = max(out[i], shared(stack[-1], i))
-            stack.append(i)
-    return out
+def previous_factors(order: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """The longest-previous-factor array by place: how much of a suffix also starts at a smaller place.
+
+    One pass over the suffix order with a stack: a suffix leaves it when its next smaller place comes, or when what
+    follows shares no more with it; below it then stands its previous smaller place. What it shares with these two is
+    the least common length on the way.
+    """
+    n = len(order)
+    out = [0] * n
+    places, shares = [*order.tolist(), -1], [*lcp.tolist(), 0]
+    stack: list[tuple[int, int]] = []
+    for place, share in zip(places, shares):
+        while stack:
+            top, most = stack[-1]
+            if place < top:  # next smaller place
+                out[top] = most if most > share else share
+                if most < share:
+                    share = most
+            elif share <= most:
+                out[top] = most
+            else:
+                break
+            stack.pop()
+        stack.append((place, share))
+    return np.array(out, dtype=np.int64)
+
+
+def longest_factors(data: np.ndarray, starts: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
+    """(previous, next): how many of the ``span`` bytes from each start also stand at an earlier start, at a later one."""
+    order, lcp = suffix_order(data, starts, span)
+    return previous_factors(order, lcp), previous_factors(len(order) - 1 - order, lcp)[::-1]
 
 
 def _digest(docs: DataFrame) -> DataFrame:
@@ -171,32 +193,40 @@ def _runs(texts: DataFrame) -> DataFrame:
 
 
 def _cut(texts: DataFrame) -> DataFrame:
-    """digest, anchor, blocks, start, content of every run (rows: digest, _text, runs)."""
+    """doc_id, digest, anchor, blocks, start, content of every run (rows: doc_id, digest, _text, runs)."""
+    kinds = {"doc_id": pa.int64(), "digest": pa.binary(), "anchor": pa.int64(), "blocks": pa.int32(), "start": pa.int32(), "content": pa.binary()}
+
+    def table(*lists) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(lists, kinds.values())], names=list(kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, anchor, blocks, start, content = [], [], [], [], []
-            for d, t, runs in zip(batch["digest"], batch["_text"], batch["runs"]):
+            ids, doc, anchor, blocks, start, content = [], [], [], [], [], []
+            for i, d, t, runs in zip(batch["doc_id"].to_pylist(), batch["digest"], batch["_text"], batch["runs"]):
                 text, d = t.as_py() or b"", d.as_py()
                 for r in runs.as_py():
+                    ids.append(i)
                     doc.append(d)
                     anchor.append(r["anchor"])
                     blocks.append(r["blocks"])
                     start.append(r["first"])
                     content.append(text[r["first"] : r["last"] + SPAN])
                 if len(content) >= 4096:
-                    yield pa.RecordBatch.from_arrays([pa.array(doc, pa.binary()), pa.array(anchor, pa.int64()), pa.array(blocks, pa.int32()), pa.array(start, pa.int32()), pa.array(content, pa.binary())], names=["digest", "anchor", "blocks", "start", "content"])
-                    doc, anchor, blocks, start, content = [], [], [], [], []
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.binary()), pa.array(anchor, pa.int64()), pa.array(blocks, pa.int32()), pa.array(start, pa.int32()), pa.array(content, pa.binary())], names=["digest", "anchor", "blocks", "start", "content"])
+                    yield table(ids, doc, anchor, blocks, start, content)
+                    ids, doc, anchor, blocks, start, content = [], [], [], [], [], []
+            yield table(ids, doc, anchor, blocks, start, content)
+        common.release()
 
-    return texts.select("digest", "_text", "runs").mapInArrow(run, "digest binary, anchor long, blocks int, start int, content binary")
+    return texts.select("doc_id", "digest", "_text", "runs").mapInArrow(run, "doc_id long, digest binary, anchor long, blocks int, start int, content binary")
 
 
-def _repeated(cut: DataFrame) -> DataFrame:
-    """kind 0: digest, start, stop of stretches of repeated windows; kind 1: windows alone in a block of a salted anchor."""
+def _repeated(cut: DataFrame, keep: str) -> DataFrame:
+    """kind 0: digest, start, stop of stretches of windows to remove; kinds 1 and 2: windows of a salted anchor that are
+    the first in their block and not, or already, to remove."""
+    first_stays = keep == "first"
 
     def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("digest", "ascending"), ("start", "ascending")])
+        group = group.sort_by([("doc_id", "ascending"), ("digest", "ascending"), ("start", "ascending")])
         # Runs with the same bytes are sorted once: copies repeat whole, and stand in for one another.
         place: dict[bytes, int] = {}
         which = np.array([place.setdefault(x.as_py(), len(place)) for x in group["content"]], dtype=np.int64)
@@ -208,11 +238,9 @@ def _repeated(cut: DataFrame) -> DataFrame:
         owner = np.repeat(np.arange(len(sizes)), windows)
         inside = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
         starts = begin[owner] + inside
-        order, equal = suffix_order(data, starts)
-        following = np.concatenate([equal[1:], [False]])
-        longest_previous, longest_next = np.zeros(len(starts), dtype=bool), np.zeros(len(starts), dtype=bool)
-        longest_previous[order], longest_next[order] = equal, following  # reach SPAN or not
-        hit = longest_previous | longest_next | (copies > 1)[owner]
+        longest_previous, longest_next = longest_factors(data, starts)
+        again = longest_previous >= SPAN
+        hit = again if first_stays else again | (longest_next >= SPAN) | (copies > 1)[owner]
         new = np.concatenate([[True], owner[1:] != owner[:-1]])
         left = np.flatnonzero(hit & (new | ~np.concatenate([[False], hit[:-1]])))
         right = np.flatnonzero(hit & (np.concatenate([new[1:], [True]]) | ~np.concatenate([hit[1:], [False]])))
@@ -225,16 +253,21 @@ def _repeated(cut: DataFrame) -> DataFrame:
         kind, at = [np.zeros(len(run_of), dtype=np.int32)], [run_of]
         begins, ends = [base[run_of] + inside[left[piece]]], [base[run_of] + inside[right[piece]]]
         keys: list[bytes | None] = [None] * len(run_of)
+        if first_stays:  # later runs of the same bytes go whole
+            _, earliest = np.unique(which, return_index=True)
+            late = np.setdiff1d(np.arange(len(which)), earliest)
+            kind.append(np.zeros(len(late), dtype=np.int32))
+            at.append(late)
+            begins.append(base[late])
+            ends.append(base[late] + windows[which[late]] - 1)
+            keys += [None] * len(late)
         blocks = group["blocks"].to_numpy()
         if (blocks > 1).any():
-            some = np.zeros(len(contents), dtype=np.int64)
-            some[which] = np.arange(len(which))
+            _, some = np.unique(which, return_index=True)  # each content's first run
             salted = np.zeros(len(contents), dtype=bool)
             salted[which] = blocks > 1
-            lead = np.ones(len(starts), dtype=bool)
-            lead[order] = ~equal
-            # A window alone in its block, or the first of equal ones, is compared with other blocks.
-            for k, places in ((1, np.flatnonzero(salted[owner] & ~hit)), (2, np.flatnonzero(salted[owner] & hit & lead))):
+            # A window that is the first in its block is compared with other blocks: kind 2 where it is a hit already.
+            for k, places in ((1, np.flatnonzero(salted[owner] & ~again & ~hit)), (2, np.flatnonzero(salted[owner] & ~again & hit))):
                 kind.append(np.full(len(places), k, dtype=np.int32))
                 at.append(some[owner[places]])
                 begins.append(base[some[owner[places]]] + inside[places])
@@ -243,14 +276,17 @@ def _repeated(cut: DataFrame) -> DataFrame:
         at = np.concatenate(at)
         return pa.table({
             "kind": pa.array(np.concatenate(kind)), "digest": digests.take(pa.array(at)), "start": pa.array(np.concatenate(begins).astype(np.int32)),
-            "stop": pa.array(np.concatenate(ends).astype(np.int32)), "key": pa.array(keys, pa.binary()),
+            "stop": pa.array(np.concatenate(ends).astype(np.int32)), "key": pa.array(keys, pa.binary()), "doc_id": group["doc_id"].combine_chunks().take(pa.array(at)),
         })
 
-    return cut.groupBy("_bucket").applyInArrow(run, "kind int, digest binary, start int, stop int, key binary")
+    return cut.groupBy("_bucket").applyInArrow(run, "kind int, digest binary, start int, stop int, key binary, doc_id long")
+
 
+def repeated_windows(docs: DataFrame, work: common.Workspace, keep: str = "none") -> tuple[DataFrame, DataFrame]:
+    """(keyed, hits): digest and size of every row; digest, start, stop of stretches of window starts to remove.
 
-def repeated_windows(docs: DataFrame, work: common.Workspace) -> tuple[DataFrame, DataFrame]:
-    """(keyed, hits): digest and size of every row; digest, start, stop of stretches of repeated window starts."""
+    Texts stand in the order of their smallest doc_id (null last), then of their digest.
+    """
     spark = docs.sparkSession
     common.bounded_batches(spark)
     keyed = work.save(_digest(docs), "keyed")
@@ -270,29 +306,50 @@ def repeated_windows(docs: DataFrame, work: common.Workspace) -> tuple[DataFrame
     texts = whole.withColumnRenamed("digest", "_d").withColumnRenamed("doc_id", "_i").join(by_text, F.col("_i").eqNullSafe(F.col("doc_id")) & (F.col("_d") == F.col("digest")))
     salt = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("digest", "start"), F.col("blocks"))).otherwise(F.lit(0))
     bucket = F.pmod(F.xxhash64("anchor", salt), F.lit(buckets)).cast("int")
-    found = work.save(_repeated(_cut(texts).withColumn("_bucket", bucket)), "found")
+    found = work.save(_repeated(_cut(texts).withColumn("_bucket", bucket), keep), "found")
     direct = found.where("kind = 0").select("digest", "start", "stop")
-    across = found.where("kind > 0").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    late = found.where("kind = 1").join(across, "key", "left_semi").select("digest", "start", "stop")
+    if keep == "first":
+        place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "digest", "start")
+        earliest = found.where("kind > 0").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("p")).where("n > 1").select("key", "p")
+        late = found.where("kind > 0").join(earliest, "key").where(place != F.col("p")).select("digest", "start", "stop")
+    else:
+        across = found.where("kind > 0").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+        late = found.where("kind = 1").join(across, "key", "left_semi").select("digest", "start", "stop")
     return keyed, direct.unionByName(late)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row (``keep="none"``)."""
+def remove_repeats(docs: DataFrame, keep: str = "none") -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
+
+    ``keep="none"`` removes every occurrence of what repeats, ``keep="first"`` all but the first: rows stand in the
+    order of doc_id (null last), then of their text's digest; of equal rows one is the first.
+    """
     work = common.Workspace(docs.sparkSession, "repeats")
-    keyed, hits = repeated_windows(docs, work)
-    copies = keyed.where(f"n_bytes >= {SPAN}").groupBy("digest").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("digest", F.array(F.struct(F.lit(0).alias("start"), F.lit(2147483647).alias("stop"))).alias("whole"))
+    keyed, hits = repeated_windows(docs, work, keep)
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.lit(2147483647).alias("stop")))
+    copies = keyed.where(f"n_bytes >= {SPAN}").groupBy("digest").agg(F.count(F.lit(1)).alias("_n"), F.min("doc_id").alias("_first")).where("_n > 1")
     spans = hits.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))  # the spans of one text
-    marks = spans.join(copies, "digest", "full").select("digest", F.coalesce("whole", "spans").alias("spans"))
-    marked = work.save(marks, "marks")
-    return _applied(docs, keyed, marked)
-
-
-def _applied(docs: DataFrame, keyed: DataFrame, marked: DataFrame) -> DataFrame:
-    rows = keyed.select("doc_id", "digest").distinct().join(marked, "digest")
+    marks = spans.join(copies, "digest", "full").select("digest", "spans", F.when(F.col("_n") > 1, whole).alias("whole"), "_first")
+    if keep != "first":
+        marked = work.save(marks.select("digest", F.coalesce("whole", "spans").alias("spans")), "marked")
+        return _applied(docs, keyed.select("doc_id", "digest").distinct().join(marked, "digest").withColumn("times", F.lit(1)))
+    marked = work.save(marks, "marked")
+    rows = keyed.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("times")).join(marked, "digest")
+    first = F.col("doc_id").eqNullSafe(F.col("_first"))
+    kept = F.coalesce("spans", F.array().cast("array<struct<start:int,stop:int>>"))
+    later = F.when(F.col("times") > 1, F.col("whole"))  # for all but one of equal rows
+    return _applied(docs, rows.select("doc_id", "digest", F.when(F.col("whole").isNull() | first, kept).otherwise(F.col("whole")).alias("spans"), F.when(first, later).alias("later"), "times"))
+
+
+def _applied(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The texts without their spans; ``later``: the spans of all but one of equal rows."""
     text = F.coalesce(F.col("text"), F.lit(""))
     whole = docs.select(F.col("doc_id").cast("long").alias("_i"), F.unhex(F.md5(text)).alias("_d"), F.encode(text, "UTF-8").alias("_text"))
-    joined = whole.join(rows, F.col("_i").eqNullSafe(F.col("doc_id")) & (F.col("_d") == F.col("digest")), "left").select(F.col("_i").alias("doc_id"), "_text", "spans")
+    joined = whole.join(rows, F.col("_i").eqNullSafe(F.col("doc_id")) & (F.col("_d") == F.col("digest")), "left").drop("doc_id")
+    if "later" in rows.columns:  # keep="first" numbers equal rows
+        number = F.row_number().over(Window.partitionBy("_i", "_d").orderBy("_d"))
+        joined = joined.withColumn("spans", F.when((number > 1) & F.col("later").isNotNull(), F.col("later")).otherwise(F.col("spans")))
+    joined = joined.select(F.col("_i").alias("doc_id"), "_text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

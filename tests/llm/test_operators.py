@@ -593,14 +593,52 @@ def test_repeats_empty_and_repeated_rows(spark):
     assert sorted((r.n_bytes, r.n_removed) for r in repeats.remove_repeats(df).collect()) == [(0, 0), (310, 310), (310, 310)]
 
 
-def test_longest_previous_factors():
-    from claimlake.llm.repeats import factors
+def test_longest_factors_equal_brute_force():
+    from claimlake.llm.repeats import longest_factors, suffix_order
 
     rng = random.Random(10)
-    for _ in range(60):
-        t = bytes(rng.choice(b"ab") for _ in range(rng.randrange(13)))
-        for i, f in enumerate(factors(t)):
-            assert f == max((k for j in range(i) for k in range(len(t) - i + 1) if t[i : i + k] == t[j : j + k]), default=0)
+    for span in (8, 19, 200):
+        for _ in range(25):
+            t = bytes(rng.choice(b"ab") for _ in range(rng.randrange(span, span + 60)))
+            t += t[: rng.randrange(len(t))] if rng.random() < 0.5 else b""
+            starts = np.arange(len(t) - span + 1)
+            order, lcp = suffix_order(np.frombuffer(t, dtype=np.uint8), starts, span)
+            assert order.tolist() == sorted(range(len(starts)), key=lambda i: (t[i : i + span], i))
+
+            def shared(i, j, t=t, span=span):
+                return next((k for k in range(span) if t[i + k] != t[j + k]), span)
+
+            assert all(lcp[k] == shared(order[k - 1], order[k]) for k in range(1, len(order)))
+            before, after = longest_factors(np.frombuffer(t, dtype=np.uint8), starts, span)
+            for i in range(len(starts)):
+                assert before[i] == max((shared(i, j) for j in range(i)), default=0)
+                assert after[i] == max((shared(i, j) for j in range(i + 1, len(starts))), default=0)
+
+
+def brute_keep_first(texts, span=200):
+    seen, out = set(), {}
+    for d, t in enumerate(texts):
+        t = (t or "").encode()
+        flags = bytearray(len(t))
+        for i in range(len(t) - span + 1):
+            if t[i : i + span] in seen:
+                flags[i : i + span] = b"\1" * span
+            seen.add(t[i : i + span])
+        out[d] = (len(t), sum(flags), len(re.findall(rb"\x01+", bytes(flags))), hashlib.sha256(bytes(b for b, f in zip(t, flags) if not f)).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("block", [4096, 3])
+def test_keep_first_equals_brute_force(spark, monkeypatch, block):
+    from claimlake.llm import repeats
+
+    monkeypatch.setattr(repeats, "BLOCK", block)
+    texts = repeated_texts() + repeated_texts()[::3]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(docs(spark, texts, extra=True), keep="first").collect()}
+    assert got == brute_keep_first(texts)
+    rows = [(1, "q" * 10 + "r" * 300)] * 3 + [(None, "q" * 10 + "r" * 300), (None, None)]
+    same = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), keep="first").collect()
+    assert sorted((r.n_bytes, r.n_removed) for r in same) == [(0, 0), (310, 299), (310, 310), (310, 310), (310, 310)]
 
 
 # --- 10 ------------------------------------------------------------------
