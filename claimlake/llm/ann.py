@@ -1,7 +1,8 @@
 """Operator 1: approximate nearest neighbours by an inverted multi-index.
 
-Unit vectors are cut into two halves; each half has a codebook of CODES
-centroids, fitted on at most SAMPLE vectors. A vector's cell is the pair of its
+Unit vectors are cut into two halves; each half has a codebook of centroids, fitted
+on at most SAMPLE vectors, as many as give CELL_ENTRIES entries a cell, but MOST_CODES
+at most. A vector's cell is the pair of its
 nearest centroids. A query visits cells by rising sum of its two half distances,
 with a heap over the grid of sorted centroids, until the cells hold PROBE_SHARE
 of all entries; entries of these cells are reranked by exact cosine in double
@@ -17,12 +18,15 @@ queries in chunks of QUERY_CHUNK, and a task reranks one chunk against the block
 entries in the cells each query visits: bounded memory, and only the best few
 of each query and block move on.
 
+Within a block, every entry whose quick score is within ROUNDING of the (k + 1)-th
+is scored exactly, so ties are decided by the exact measure and then by id.
+
 PROBE_SHARE is high as the given embeddings are nearly isotropic: their true
 neighbours lie scattered over the cells. Recall on them is measured by the tests.
 
-Defined cases: vectors that are null, zero, or hold null or non-finite values,
-or whose length is not the table's most frequent one (larger on ties), and rows
-with null id take no part; a repeated query row is answered once; fewer than k
+Defined cases: vectors that are null, zero, or hold null or non-finite values, and
+rows with null id take no part; vectors of each length are searched among their own,
+with an index for each length; a repeated query row is answered once; fewer than k
 candidates give as many; an empty table gives none; other columns are ignored.
 """
 
@@ -39,9 +43,11 @@ from pyspark.sql.window import Window
 
 from . import common
 
-CODES, SAMPLE, ROUNDS = 32, 20_000, 12
+CELL_ENTRIES, MOST_CODES, SAMPLE, ROUNDS = 48, 512, 20_000, 12
 PROBE_SHARE, MIN_PROBE = 0.6, 512
-BLOCK, QUERY_CHUNK = 4096, 2048
+BLOCK, QUERY_CHUNK, SLICE = 4096, 8192, 256
+#: More than rounding can move a quick score of unit vectors.
+ROUNDING = 1e-9
 K, EVERY = 5, 50
 
 
@@ -51,9 +57,7 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
     fine = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("embedding")).where(
         F.col("vec_id").isNotNull() & v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
     )
-    lengths = fine.groupBy(F.size(v).alias("n")).count().orderBy(F.desc("count"), F.desc("n")).limit(1).collect()
-    dim = lengths[0]["n"] if lengths else 0
-    return fine.where(F.size(v) == dim).withColumns({"h1": F.xxhash64(v), "h2": F.xxhash64(v, F.lit(1))})
+    return fine.withColumns({"h1": F.xxhash64(v), "h2": F.xxhash64(v, F.lit(1))})
 
 
 def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
@@ -63,7 +67,7 @@ def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
     return few.groupBy("h1", "h2").agg(F.first("embedding").alias("embedding"), F.sort_array(F.collect_set("vec_id")).alias("ids"))
 
 
-def kmeans(x: np.ndarray, codes: int = CODES, rounds: int = ROUNDS, seed: int = 7) -> np.ndarray:
+def kmeans(x: np.ndarray, codes: int, rounds: int = ROUNDS, seed: int = 7) -> np.ndarray:
     rng = np.random.default_rng(seed)
     c = x[rng.choice(len(x), min(codes, len(x)), replace=False)].copy()
     for _ in range(rounds):
@@ -146,7 +150,11 @@ def _routes(queries: DataFrame, c1: np.ndarray, c2: np.ndarray, counts: np.ndarr
 
 
 def cosines(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Row by row, in double precision, the same for the same two rows wherever they stand."""
+    """Row by row, in double precision, the same for the same two rows wherever they stand.
+
+    Rows are first scaled by powers of two, which is exact, so large and small components stay in range.
+    """
+    q, v = (np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1]) for x in (q, v))
     return (q * v).sum(axis=1) / (np.sqrt((q * q).sum(axis=1)) * np.sqrt((v * v).sum(axis=1)))
 
 
@@ -160,12 +168,12 @@ def _rerank(k: int):
             maps = np.unpackbits(np.frombuffer(b"".join(x.as_py() for x in queries["cells"]), dtype=np.uint8).reshape(len(q), -1), axis=1)
             vu, qu = _unit(v), _unit(q)
             a, b = queries["h1"].to_numpy(), queries["h2"].to_numpy()
-            most = min(len(v), 4 * (k + 1))
-            for at in range(0, len(q), 256):
-                s = np.where(maps[at : at + 256][:, cell] > 0, qu[at : at + 256] @ vu.T, -np.inf)
-                best = np.argpartition(-s, most - 1, axis=1)[:, :most] if most < len(v) else np.tile(np.arange(len(v)), (len(s), 1))
+            most = min(len(v), k + 1)
+            for at in range(0, len(q), SLICE):
+                s = np.where(maps[at : at + SLICE][:, cell] > 0, qu[at : at + SLICE] @ vu.T, -np.inf)
+                least = -np.partition(-s, most - 1, axis=1)[:, most - 1] - ROUNDING
                 for i in range(len(s)):
-                    js = best[i][np.isfinite(s[i][best[i]])]
+                    js = np.flatnonzero(np.isfinite(s[i]) & (s[i] >= least[i]))
                     exact = cosines(np.repeat(q[at + i : at + i + 1], len(js), axis=0), v[js])
                     found = sorted((-e, x) for e, j in zip(exact.tolist(), js.tolist()) for x in lists[j])[: k + 1]
                     h1 += [a[at + i]] * len(found)
@@ -177,22 +185,33 @@ def _rerank(k: int):
     return run
 
 
+SCHEMA = "query_id long, rank int, vec_id long, score double"
+
+
 def search(vectors: DataFrame, every: int = EVERY, k: int = K, probe_share: float = PROBE_SHARE) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of every row whose id ``every`` divides."""
     spark = vectors.sparkSession
     common.bounded_batches(spark)
-    work = common.Workspace(spark, "ann")
     rows = usable(vectors)
+    asked = rows.where(F.col("vec_id") % every == 0)
+    out = None
+    for r in asked.select(F.size("embedding").alias("n")).distinct().orderBy("n").collect():  # a row for each length
+        work = common.Workspace(spark, f"ann{r['n']}")
+        part = _search(rows.where(F.size("embedding") == r["n"]), asked.where(F.size("embedding") == r["n"]), k, probe_share, work)
+        out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], SCHEMA) if out is None else out
+
+
+def _search(rows: DataFrame, queries: DataFrame, k: int, probe_share: float, work: common.Workspace) -> DataFrame:
+    spark = rows.sparkSession
     entries = work.save(distinct_vectors(rows, k), "entries")
-    asked = work.save(rows.where(F.col("vec_id") % every == 0).select("vec_id", "h1", "h2", "embedding"), "asked")
+    asked = work.save(queries.select("vec_id", "h1", "h2", "embedding"), "asked")
     sample = entries.orderBy("h1", "h2").limit(SAMPLE).select("embedding").collect()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not sample:
-        return spark.createDataFrame([], schema)
     fit = _unit(np.array([r["embedding"] for r in sample], dtype=np.float64))
-    c1, c2 = (kmeans(x) for x in _halves(fit))
+    codes = int(min(MOST_CODES, max(4, (entries.count() / CELL_ENTRIES) ** 0.5)))
+    c1, c2 = (kmeans(x, codes) for x in _halves(fit))
     index = work.save(_encode(entries, c1, c2), "index")
-    sizes = {r["cell"]: r["count"] for r in index.groupBy("cell").count().collect()}  # at most CODES x CODES rows
+    sizes = {r["cell"]: r["count"] for r in index.groupBy("cell").count().collect()}  # at most MOST_CODES x MOST_CODES rows
     counts = np.zeros(len(c1) * len(c2), dtype=np.int64)
     blocks: dict[int, tuple[int, int]] = {}
     block, room = -1, 0
@@ -213,7 +232,7 @@ def search(vectors: DataFrame, every: int = EVERY, k: int = K, probe_share: floa
     classes = asked.groupBy("h1", "h2").agg(F.first("embedding").alias("embedding"))
     routes = work.save(_routes(classes, c1, c2, counts, blocks, want), "routes")
     chunks = max(1, -(-routes.count() // QUERY_CHUNK))
-    # The placement has at most CODES x CODES rows, so it may be broadcast.
+    # The placement has at most MOST_CODES x MOST_CODES rows of 12 bytes, so it may be broadcast.
     left = index.join(F.broadcast(placed), "cell").withColumn("block", F.col("_first") + F.pmod("h1", F.col("_parts")).cast("int"))
     left = left.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).select("block", "chunk", "embedding", "ids", "cell")
     right = routes.withColumn("block", F.explode("blocks")).withColumn("chunk", F.pmod("h2", F.lit(chunks)).cast("int")).select("block", "chunk", "h1", "h2", "embedding", "cells")

@@ -9,15 +9,17 @@ digest covers the library's name and version and the vocabulary file's bytes.
 
 One row stands for each missing content: the smallest doc_id is found on digests
 alone, and texts move once, by document, never by content, so a text that a
-third of all documents share is no hot key.
+third of all documents share is no hot key. Equal rows of that doc_id come to one
+task, which encodes the first (Spark splits such a task if it is far too large; each
+part then encodes one).
 
 Inside a task words are counted once: no piece of the vocabulary has the space
 mark after another character and its normaliser is the identity (checked when the
 model is loaded; else whole texts are encoded), so merges never cross from one word into the next, and a text's
 count is the sum over its words. The memo is bounded by MEMO_WORDS.
 
-Defined cases: null and empty texts count 0 tokens; repeated documents each get
-a row; null doc_id is kept; other columns are ignored; an empty table gives none.
+Defined cases: null and empty texts count 0 tokens; very long texts are encoded whole;
+repeated rows and ties in doc_id each get a row; null doc_id is kept; other columns are ignored; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -94,13 +96,21 @@ def _cuts_at_spaces(model) -> bool:
 
 
 def encode_counts(texts: DataFrame, model_path: str) -> DataFrame:
-    """content_sha256, n_tokens of each row."""
+    """content_sha256, n_tokens of the different contents of each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common.single_thread()
         counter = Counter(model_path)
+        seen: set[bytes] = set()
         for batch in batches:
+            fresh = []
+            for i, digest in enumerate(batch["content_sha256"].to_pylist()):
+                if digest not in seen:
+                    seen.add(digest)
+                    fresh.append(i)
+            batch = batch.take(pa.array(fresh, pa.int64())) if len(fresh) < len(batch) else batch
             yield pa.RecordBatch.from_arrays([batch["content_sha256"], pa.array(counter.counts(batch["_text"].to_pylist()), pa.int64())], names=["content_sha256", "n_tokens"])
+        common.release()
 
     return texts.select("content_sha256", "_text").mapInArrow(run, "content_sha256 binary, n_tokens long")
 

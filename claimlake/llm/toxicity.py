@@ -14,8 +14,9 @@ text keep their weight.
 
 Defined cases: null or wordless text has no features and gets the base rate of
 the thresholds; labels that are null, or of unknown documents, are ignored; with
-no labels or one grade only, severity is 0.0 and nothing is flagged; repeated
-rows each get a result; other columns are ignored.
+no labels or one grade only, severity is 0.0 and nothing is flagged; very long texts
+are scored whole; repeated rows each get a result, and for the fit an id counts once,
+with its highest grade (of several texts, the one whose features come first); other columns are ignored.
 """
 
 from __future__ import annotations
@@ -105,7 +106,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_docs: i
 
     # The sample has a fixed bound (ids and grades of sample_docs rows), so it may be broadcast.
     picked = docs.select("doc_id", F.encode("text", "UTF-8").alias("_text")).join(F.broadcast(graded), "doc_id")
-    rows = sorted((r["doc_id"], r["g"], bytes(r["x"])) for r in picked.select("doc_id", "_grade", "_text").mapInArrow(run, "doc_id long, g int, x binary").collect())
+    found = picked.select("doc_id", "_grade", "_text").mapInArrow(run, "doc_id long, g int, x binary")
+    # One row for each id, however many rows repeat it.
+    rows = sorted((r["doc_id"], r["g"], bytes(r["x"])) for r in found.groupBy("doc_id", "g").agg(F.min("x").alias("x")).collect())
     return train([np.frombuffer(x, dtype=np.int32).astype(np.int64) for _, _, x in rows], np.array([g for _, g, _ in rows], dtype=np.int64))
 
 

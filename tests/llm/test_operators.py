@@ -79,6 +79,44 @@ def test_recall_on_isotropic_vectors(spark):
     assert hit / (30 * 5) >= 0.9
 
 
+def test_recall_on_the_given_embeddings(spark):
+    import os
+
+    from claimlake.llm import ann
+
+    path = "/root/testdata/sf0.01/embeddings.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no given tables here")
+    df = spark.read.parquet(path)
+    rows = {r.vec_id: np.array(r.embedding, dtype=np.float64) for r in df.collect() if r.embedding is not None}
+    ids = np.array(sorted(rows))
+    u = np.stack([rows[i] for i in ids])
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    got = {}
+    for r in ann.search(df).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = total = 0
+    for q in range(len(ids)):
+        if ids[q] % 50 == 0:
+            best = np.lexsort((ids, -np.where(np.arange(len(ids)) == q, -9, u @ u[q])))[:5]
+            hit, total = hit + len(got[ids[q]] & set(ids[best].tolist())), total + 5
+    assert hit / total >= 0.9
+
+
+def test_multi_index_ties_lengths_and_large_components(spark):
+    from claimlake.llm import ann
+
+    v = [0.5, -0.25, 1.0, 0.125]
+    rows = [(i, [x * 2.0 ** (i % 7) for x in v]) for i in range(60)] + [(100 + i, [1e300 * (i + 1), 1e300, -1e300, 3e299]) for i in range(4)]
+    rows += [(200, [1.0, 2.0]), (201, [2.0, 4.5]), (250, [1.0, 2.0, 3.0])]
+    got = {}
+    for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), probe_share=1.0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert [x[1] for x in sorted(got[0])] == [1, 2, 3, 4, 5] and [x[1] for x in sorted(got[50])] == [0, 1, 2, 3, 4]
+    assert all(np.isfinite(x[2]) for x in got[100]) and sorted(got[100])[0][1] == 101
+    assert [x[1] for x in got[200]] == [201] and 250 not in got
+
+
 # --- 2 -------------------------------------------------------------------
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -245,6 +283,16 @@ def test_token_counts_and_cache(spark, tmp_path):
     assert token_counts.count_tokens(spark.createDataFrame([], DOCS), path, f"file://{tmp_path}/c2").count() == 0
 
 
+def test_token_counts_encode_repeated_rows_once(spark, tmp_path):
+    from claimlake.llm import queries, token_counts
+
+    path, cache = queries.tokenizer_path("piece_bpe_32k.model"), f"file://{tmp_path}/cache"
+    rows = [(1, "the same text")] * 50 + [(1, "another"), (None, "the same text"), (None, "no id"), (2, "w " * 100_000)]
+    got = token_counts.count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path, cache).collect()
+    assert len(got) == len(rows) and spark.read.parquet(cache).count() == 4
+    assert [r.over_limit for r in got if r.doc_id == 2] == [True]
+
+
 def test_simple8b_round_trip():
     from claimlake.llm import token_files as t
 
@@ -334,6 +382,23 @@ def test_ordinal_regression_orders_grades_and_flags(spark):
     assert not any(f for g, _, _, f in got if g == 0)
 
 
+def severities(xs, weights, theta):
+    return [sum(1 / (1 + np.exp(t - sum(weights[i] for i in x))) for t in theta) for x in xs]
+
+
+def test_severity_equals_brute_force_and_repeated_ids_count_once(spark):
+    from claimlake.llm import toxicity
+
+    rows = [(1, "vile words")] * 400 + [(i, f"plain words {i}") for i in range(2, 40)] + [(None, "vile words"), (50, "word " * 50_000 + "vile"), (51, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 2 if i == 1 else i % 2) for i in range(1, 40)] + [(1, 0), (None, 1)], "doc_id long, toxic int")
+    model, again = toxicity.fit(d, labels), toxicity.fit(d.dropDuplicates(["doc_id"]), labels)
+    assert (model.weights == again.weights).all() and len(model.thresholds) == 2
+    got = sorted(toxicity.score(d, model).collect(), key=lambda r: (r.doc_id or 0, r.severity))
+    want = severities([toxicity.features((t or "").encode()) for _, t in sorted(rows, key=lambda r: r[0] or 0)], model.weights.astype(np.float32).astype(float), model.thresholds)
+    assert [r.severity for r in got] == pytest.approx(want, abs=1e-9)
+
+
 def test_toxicity_without_labels_or_text(spark):
     from claimlake.llm import toxicity
 
