@@ -22,8 +22,10 @@ relies on (a round trip is tested).
 
 Encoding: byte-level BPE pieces never cross a space that stands between two
 other non-space characters, so words are encoded once for each task's memo and
-joined (checked against the tokenizer's settings; else whole texts are encoded). A
-word's letters are a piece apart from the marks after it and are remembered apart.
+joined (checked against the tokenizer's settings; else whole texts are encoded). The
+words of many texts are looked up together in a numpy hash table of exact keys; only
+missing ones go to the library, and letters with marks after them as the two pieces
+they are.
 
 Defined cases: null and empty texts have only the end id; repeated rows are
 written repeatedly; an empty table writes files without frames and returns none;
@@ -46,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from . import common
+from . import common, shingles
 
 #: Ids in 60 bits and their width, by selector.
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], dtype=np.int64)
@@ -83,18 +85,6 @@ def bit_lengths(ids: np.ndarray) -> np.ndarray:
     return out
 
 
-def _ahead(bits: np.ndarray, count: int, seen: dict[int, np.ndarray]) -> np.ndarray:
-    """Largest of the next ``count`` entries; ``seen`` keeps powers of two."""
-    power = 1 << (count.bit_length() - 1)
-    if power not in seen:
-        half = _ahead(bits, power // 2, seen)
-        seen[power] = np.maximum(half[: len(half) - power // 2], half[power // 2 :])
-    base = seen[power]
-    if power == count:
-        return base
-    return np.maximum(base[: len(base) - (count - power)], base[count - power :])
-
-
 def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     """(words, first word of each block) of unsigned 64-bit ids."""
     ids = np.ascontiguousarray(ids, dtype=np.uint64)
@@ -103,16 +93,15 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
     blocks = -(-n // block)
     bits = bit_lengths(ids)
-    room = np.minimum(block - np.arange(n) % block, n - np.arange(n)).astype(np.int32)
     choice = np.full(n, ESCAPE, dtype=np.uint8)
-    seen = {1: bits}
     for s in range(len(COUNTS) - 1, -1, -1):  # the widest count that fits is set last
         c, w = int(COUNTS[s]), int(WIDTHS[s])
-        if c > n:
-            break
-        top = _ahead(bits, c, seen)
-        fits = np.flatnonzero(top <= w)
-        choice[fits[room[fits] >= c]] = s
+        narrow = np.flatnonzero(bits <= w)
+        if len(narrow) < c:
+            continue
+        # Where c narrow ids follow one another inside a block.
+        first, last = narrow[: len(narrow) - c + 1], narrow[c - 1 :]
+        choice[first[(last - first == c - 1) & (first % block <= block - c)]] = s
     step = np.ones(16, dtype=np.int64)
     step[: len(COUNTS)] = COUNTS
     at = np.arange(blocks, dtype=np.int64) * block
@@ -135,9 +124,9 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
             words[place[mine] + 1] = ids[start_all[mine]]
             continue
         c, w = int(COUNTS[s]), int(WIDTHS[s])
-        packed = np.full(len(mine), int(s) << 60, dtype=np.uint64)
+        packed, at = np.full(len(mine), int(s) << 60, dtype=np.uint64), start_all[mine]
         for k in range(c):
-            packed |= ids[start_all[mine] + k] << np.uint64(k * w)
+            packed |= ids[at + k] << np.uint64(k * w)
         words[place[mine]] = packed
     first = place[np.searchsorted(start_all, np.arange(blocks) * block)]
     return words, first.astype(np.uint64)
@@ -171,9 +160,9 @@ def decode(words: np.ndarray, first: np.ndarray, n: int, block: int = BLOCK) ->
         mine = np.flatnonzero((selector == s) & ~raw)
         if len(mine):
             c, w = int(COUNTS[s]), int(WIDTHS[s])
-            mask = np.uint64((1 << w) - 1)
+            mask, packed, at = np.uint64((1 << w) - 1), words[mine], place[mine]
             for k in range(c):
-                out[place[mine] + k] = (words[mine] >> np.uint64(k * w)) & mask
+                out[at + k] = (packed >> np.uint64(k * w)) & mask
     return out
 
 
@@ -206,38 +195,67 @@ def frames(content: bytes) -> Iterator[tuple[int, list[int | None], np.ndarray,
         yield partition, [int(d) if k else None for d, k in zip(numbers, known)], lengths, decode(words, first, n_ids)
 
 
-class Memo(dict):
-    """Ids (little-endian u32 bytes) of words after ``lead``, found by the library where missing.
+class WordTable:
+    """Ids of words of up to 15 bytes, found for many words at once: open addressing over numpy arrays.
 
-    A word of letters and then marks is two pieces for the tokenizer, so the letters are remembered by themselves and
-    go to the library's model as the one piece they are.
+    A word's key is its bytes and its length, so equal keys are equal words.
     """
 
-    MARKS = ".,;:!?"
-    #: Characters below this have kept their categories since long before any library's tables.
-    SETTLED = "\u0250"
-    #: Longer words seldom come again.
-    LIM = 14
+    def __init__(self, most: int) -> None:
+        self.most, self.bits = most, max(4, (2 * most - 1).bit_length())
+        self.clear()
+
+    def clear(self) -> None:
+        size = 1 << self.bits
+        self.low, self.high, self.place = np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=np.uint64), np.full(size, -1, dtype=np.int32)
+        self.ids, self.firsts, self.count = np.zeros(1 << 12, dtype="<u4"), np.zeros(self.most + 2, dtype=np.int64), 0
+
+    def _slot(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return (shingles.mix(low ^ (high * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The number of each word, -1 where it is missing."""
+        slot = self._slot(low, high)
+        got = self.place[slot]
+        same = (self.low[slot] == low) & (self.high[slot] == high)
+        out = np.where(same, got, -1)
+        live = np.flatnonzero((got >= 0) & ~same)
+        while len(live):
+            at = slot[live] = (slot[live] + 1) & ((1 << self.bits) - 1)
+            got = self.place[at]
+            same = (got >= 0) & (self.low[at] == low[live]) & (self.high[at] == high[live])
+            out[live[same]] = got[same]
+            live = live[(got >= 0) & ~same]
+        return out
 
-    def __init__(self, encoder: Encoder, lead: str) -> None:
-        self.encoder, self.lead = encoder, lead
-        self.ends: dict[str, bytes] = {}
+    def add(self, low: np.ndarray, high: np.ndarray, ids: list[bytes]) -> np.ndarray:
+        """Numbers of words that are all different and missing."""
+        n, flat = len(ids), np.frombuffer(b"".join(ids), dtype="<u4")
+        numbers = np.arange(self.count, self.count + n, dtype=np.int32)
+        start = int(self.firsts[self.count])
+        while start + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[start : start + len(flat)] = flat
+        self.firsts[self.count + 1 : self.count + n + 1] = start + np.cumsum([len(x) // 4 for x in ids])
+        self.count += n
+        slot, live = self._slot(low, high), np.arange(n)
+        while len(live):
+            free = live[self.place[slot[live]] < 0]
+            _, one = np.unique(slot[free], return_index=True)  # of several that want a slot one gets it
+            put = free[one]
+            self.place[slot[put]], self.low[slot[put]], self.high[slot[put]] = numbers[put], low[put], high[put]
+            live = np.setdiff1d(live, put, assume_unique=True)
+            slot[live] = (slot[live] + 1) & ((1 << self.bits) - 1)
+        return numbers
 
-    def __missing__(self, word: str) -> bytes:
-        core = word.rstrip(self.MARKS)
-        if core.isalpha() and (core.isascii() or max(core) < self.SETTLED):
-            if core is word or core == word:
-                out = self.encoder.letters(self.lead, core)
-            else:
-                end = word[len(core) :]
-                if end not in self.ends:
-                    self.ends[end] = self.encoder.piece(end)
-                out = self[core] + self.ends[end]
-        else:
-            out = self.encoder.piece(self.lead + word)
-        if len(word) <= self.LIM:
-            self[word] = out
-        return out
+
+def _word_keys(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first 8 bytes, and up to 7 more with the length, of words of at most 15 bytes; data goes 16 bytes on."""
+    eight = np.lib.stride_tricks.as_strided(data, shape=(len(data) - 7, 8), strides=(1, 1))
+    masks = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
+    low = eight[starts].view("<u8").ravel() & masks[np.minimum(sizes, 8)]
+    high = eight[starts + 8].view("<u8").ravel() & masks[np.clip(sizes - 8, 0, 7)]
+    return low, high | (sizes.astype(np.uint64) << np.uint64(56))
 
 
 def _shown() -> dict[int, int]:
@@ -269,7 +287,8 @@ class Encoder:
         self.added = [t["content"] for t in conf.get("added_tokens") or []]
         plain = not conf.get("normalizer") and not conf.get("truncation") and not conf.get("padding") and conf["model"].get("type") == "BPE" and conf["model"].get("dropout") is None
         self.by_word = plain and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"] for t in conf.get("added_tokens") or [])
-        self.first, self.later, self.most = Memo(self, ""), Memo(self, " "), memo_words
+        self.most = memo_words
+        self.later, self.ends = WordTable(memo_words), {}
 
     def piece(self, text: str) -> bytes:
         if any(t in text for t in self.added):
@@ -278,26 +297,110 @@ class Encoder:
             ids = [x.id for part, _ in self.split.pre_tokenize_str(text) for x in self.model.tokenize(part)]
         return array("I", ids).tobytes()
 
+    #: Marks that are a piece of their own after letters, and the end of the characters whose categories have stood
+    #: since long before any library's tables.
+    MARKS, SETTLED = ".,;:!?", "\u0250"
+    #: Text bytes whose words are looked up together, and the words' longest.
+    CHUNK, LONGEST = 4 << 20, 15
+
     def letters(self, lead: str, text: str) -> bytes:
         """Ids of letters, after a space or not: one piece, in the spelling of byte-level BPE."""
         shown = ("\u0120" if lead else "") + (text if text.isascii() else text.encode().decode("latin-1").translate(SHOWN))
         return array("I", [x.id for x in self.model.tokenize(shown)]).tobytes()
 
-    def words(self, text: str) -> list[str]:
-        odd = "  " in text or text[:1] == " " or text[-1:] == " " or any(f" {c}" in text or f"{c} " in text for c in self.SPACES if c in text)
-        return self.CUT.split(text) if odd else text.split(" ")
+    def word(self, lead: str, word: str) -> bytes:
+        """Ids of a word after ``lead``. Letters, marks after them and a line feed between words are pieces, which go to
+        the model as they are."""
+        if "\n" not in word:
+            return self.settled(lead, word) or self.piece(lead + word)
+        lines = word.split("\n")
+        parts = [self.settled("" if i else lead, line) for i, line in enumerate(lines)]
+        return self._end("\n").join(parts) if all(parts) else self.piece(lead + word)
+
+    def settled(self, lead: str, word: str) -> bytes:
+        """Ids of letters and then marks; nothing for other words."""
+        core = word.rstrip(self.MARKS)
+        if not core.isalpha() or not (core.isascii() or max(core) < self.SETTLED):
+            return b""
+        out = self.letters(lead, core)
+        return out if len(core) == len(word) else out + self._end(word[len(core) :])
+
+    def _end(self, end: str) -> bytes:
+        if end not in self.ends:
+            self.ends = self.ends if len(self.ends) < 4096 else {}
+            self.ends[end] = self.piece(end)
+        return self.ends[end]
+
+    def odd(self, text: str) -> bool:
+        """Whether a space stands beside white space or at an end, so that text may not be cut at every space."""
+        return "  " in text or text[:1] == " " or text[-1:] == " " or any(f" {c}" in text or f"{c} " in text for c in self.SPACES if c in text)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        if len(self.first) + len(self.later) > self.most:
-            self.first.clear()
-            self.later.clear()
-        out = []
-        for text in texts:
-            words = self.words(text)
-            head = self.first[words[0]]
-            out.append(head + b"".join(map(self.later.__getitem__, words[1:])))
+        out: list[bytes] = []
+        at = size = 0
+        for i, text in enumerate(texts):
+            size += len(text)
+            if size >= self.CHUNK or i == len(texts) - 1:
+                out += self._looked_up(texts[at : i + 1])
+                at, size = i + 1, 0
+        return out
+
+    def _cut(self, texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, list[int], np.ndarray]:
+        """(bytes, starts and sizes of words, the texts in the order of their words, where each text's words begin)."""
+        careful = [i for i, t in enumerate(texts) if self.odd(t)]
+        skip = set(careful)
+        easy = [i for i in range(len(texts)) if i not in skip]
+        encoded = [texts[i].encode() for i in easy]
+        data = b" ".join([*encoded, b""])
+        ends = np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == 32)
+        starts = np.concatenate([np.zeros(min(1, len(ends)), dtype=np.int64), ends[:-1] + 1])
+        last = np.cumsum([len(t) + 1 for t in encoded], dtype=np.int64) - 1
+        bounds = [np.zeros(1, dtype=np.int64), np.searchsorted(ends, last) + 1]
+        parts = [[w.encode() for w in self.CUT.split(texts[i])] for i in careful]
+        sizes = np.array([len(w) for p in parts for w in p], dtype=np.int64)
+        bounds.append(len(ends) + np.cumsum([len(p) for p in parts], dtype=np.int64))
+        starts = np.concatenate([starts, len(data) + np.cumsum(sizes) - sizes])
+        sizes = np.concatenate([ends - starts[: len(ends)], sizes])
+        return b"".join([data, *(w for p in parts for w in p), bytes(16)]), starts, sizes, [*easy, *careful], np.concatenate(bounds)
+
+    def _looked_up(self, texts: list[str]) -> list[bytes]:
+        data, starts, sizes, order, bounds = self._cut(texts)
+        special = sizes > self.LONGEST
+        special[bounds[:-1]] = True  # a text's first word has no space before it
+        usual = np.flatnonzero(~special)
+        low, high = _word_keys(np.frombuffer(data, dtype=np.uint8), starts[usual], sizes[usual])
+        numbers = self.later.find(low, high)
+        for _ in range(2):
+            missing = np.flatnonzero(numbers < 0)
+            rank = np.lexsort((high[missing], low[missing]))
+            l, h = low[missing[rank]], high[missing[rank]]
+            fresh = np.ones(len(rank), dtype=bool)
+            fresh[1:] = (l[1:] != l[:-1]) | (h[1:] != h[:-1])
+            if self.later.count + int(fresh.sum()) <= self.later.most:
+                break
+            self.later = WordTable(max(self.most, len(usual)))  # forget all words
+            numbers[:] = -1
+        new = usual[missing[rank[fresh]]]
+        spans = zip(starts[new].tolist(), (starts[new] + sizes[new]).tolist())
+        added = self.later.add(l[fresh], h[fresh], [self.word(" ", data[a:b].decode()) for a, b in spans])
+        numbers[missing[rank]] = added[np.cumsum(fresh) - 1]
+        first = set(bounds[:-1].tolist())
+        odd_ones = np.flatnonzero(special)
+        others = [self.word("" if i in first else " ", data[a:b].decode()) for i, a, b in zip(odd_ones.tolist(), starts[odd_ones].tolist(), (starts[odd_ones] + sizes[odd_ones]).tolist())]
+        used = int(self.later.firsts[self.later.count])
+        flat = np.concatenate([self.later.ids[:used], np.frombuffer(b"".join(others), dtype="<u4")])
+        at, widths = np.empty(len(starts), dtype=np.int64), np.empty(len(starts), dtype=np.int64)
+        at[usual], widths[usual] = self.later.firsts[numbers], self.later.firsts[numbers + 1] - self.later.firsts[numbers]
+        widths[odd_ones] = [len(x) // 4 for x in others]
+        at[odd_ones] = used + np.cumsum(widths[odd_ones]) - widths[odd_ones]
+        begins = np.concatenate([[0], np.cumsum(widths)])
+        ids = flat[np.repeat(at - begins[:-1], widths) + np.arange(begins[-1])].tobytes()
+        cuts = (4 * begins[bounds]).tolist()
+        out: list[bytes] = [b""] * len(texts)
+        for i, a, b in zip(order, cuts, cuts[1:]):
+            out[i] = ids[a:b]
         return out
 
 
@@ -336,12 +439,11 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, out_path: str, end_id: in
 
         for batch in batches:
             numbers, texts = batch["doc_id"].to_pylist(), batch["_text"].to_pylist()
-            for i in range(0, len(texts), 64):
-                for doc_id, ids in zip(numbers[i : i + 64], encoder.ids(texts[i : i + 64])):
-                    doc_ids.append(doc_id)
-                    lengths.append(len(ids) // 4 + 1)
-                    parts += (ids, end)
-                    held += lengths[-1]
+            for doc_id, ids in zip(numbers, encoder.ids(texts)):
+                doc_ids.append(doc_id)
+                lengths.append(len(ids) // 4 + 1)
+                parts += (ids, end)
+                held += lengths[-1]
                 if held >= FRAME_IDS:
                     yield out()
                     doc_ids, lengths, parts, held = [], [], [], 0
