@@ -17,8 +17,8 @@ the same offset. So windows are split by the hash of that anchor:
 4. A task sorts the suffixes of its runs, cut at SPAN bytes, by prefix doubling,
    and finds what neighbours share. Previous and next smaller positions in suffix
    order give each start's longest previous factor (how much of it started before)
-   and, with positions reversed, its longest next factor. A window started before
-   where the former reaches SPAN, and repeats where one of them does.
+   and where that is. A window started before where this reaches SPAN; it and the
+   start it points to repeat.
 5. Anchors that were salted over several blocks get a second step: the first
    windows of each block are compared with the other blocks by a 128-bit digest,
    with partial sums and least positions.
@@ -142,37 +142,39 @@ def _dense(key: np.ndarray) -> np.ndarray:
     return out
 
 
-def previous_factors(order: np.ndarray, lcp: np.ndarray) -> np.ndarray:
-    """The longest-previous-factor array by place: how much of a suffix also starts at a smaller place.
+def previous_factors(order: np.ndarray, lcp: np.ndarray, span: int = SPAN, least: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """(lpf, place) by place: how many of a suffix's first ``span`` bytes also stand at a smaller place, and that place.
 
-    One pass over the suffix order with a stack: a suffix leaves it when its next smaller place comes, or when what
-    follows shares no more with it; below it then stands its previous smaller place. What it shares with these two is
-    the least common length on the way.
+    It is the previous or the next smaller place in suffix order, whichever shares more; what two suffixes share is the
+    least common length on the way. Shares under ``least`` count as none (0 and -1), which ends most ways early.
+    Suffixes with the same ``span`` bytes stand together by rising place: each has the one before it, and the first
+    goes on past the others. All ways are gone at once, one step at a time.
     """
     n = len(order)
-    out = [0] * n
-    places, shares = [*order.tolist(), -1], [*lcp.tolist(), 0]
-    stack: list[tuple[int, int]] = []
-    for place, share in zip(places, shares):
-        while stack:
-            top, most = stack[-1]
-            if place < top:  # next smaller place
-                out[top] = most if most > share else share
-                if most < share:
-                    share = most
-            elif share <= most:
-                out[top] = most
-            else:
-                break
-            stack.pop()
-        stack.append((place, share))
-    return np.array(out, dtype=np.int64)
-
-
-def longest_factors(data: np.ndarray, starts: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
-    """(previous, next): how many of the ``span`` bytes from each start also stand at an earlier start, at a later one."""
-    order, lcp = suffix_order(data, starts, span)
-    return previous_factors(order, lcp), previous_factors(len(order) - 1 - order, lcp)[::-1]
+    lpf, previous = np.zeros(n, dtype=np.int64), np.full(n, -1, dtype=np.int64)
+    follows = lcp >= span
+    again = np.flatnonzero(follows)
+    lpf[order[again]], previous[order[again]] = span, order[again - 1]
+    heads = np.flatnonzero(~follows)
+    places, shares = order[heads], np.concatenate([lcp[heads], [0]])
+    m = len(heads)
+    for step in (-1, 1):
+        me = np.arange(m)
+        share = shares[:m] if step < 0 else shares[1:]
+        at = me + step
+        live = np.flatnonzero(share >= least)
+        me, at, share = me[live], at[live], share[live]
+        while len(me):
+            found = places[at] < places[me]
+            mine, by = places[me[found]], places[at[found]]
+            better = share[found] > lpf[mine]
+            lpf[mine[better]], previous[mine[better]] = share[found][better], by[better]
+            me, at, share = me[~found], at[~found], share[~found]
+            share = np.minimum(share, shares[at] if step < 0 else shares[at + 1])
+            at = at + step
+            live = share >= least
+            me, at, share = me[live], at[live], share[live]
+    return lpf, previous
 
 
 def _digest(docs: DataFrame) -> DataFrame:
@@ -238,9 +240,12 @@ def _repeated(cut: DataFrame, keep: str) -> DataFrame:
         owner = np.repeat(np.arange(len(sizes)), windows)
         inside = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
         starts = begin[owner] + inside
-        longest_previous, longest_next = longest_factors(data, starts)
-        again = longest_previous >= SPAN
-        hit = again if first_stays else again | (longest_next >= SPAN) | (copies > 1)[owner]
+        longest, previous = previous_factors(*suffix_order(data, starts))
+        again = longest >= SPAN
+        hit = again.copy()
+        if not first_stays:  # what a later start repeats goes too
+            hit[previous[again]] = True
+            hit |= (copies > 1)[owner]
         new = np.concatenate([[True], owner[1:] != owner[:-1]])
         left = np.flatnonzero(hit & (new | ~np.concatenate([[False], hit[:-1]])))
         right = np.flatnonzero(hit & (np.concatenate([new[1:], [True]]) | ~np.concatenate([hit[1:], [False]])))

@@ -658,8 +658,8 @@ def test_repeats_empty_and_repeated_rows(spark):
     assert sorted((r.n_bytes, r.n_removed) for r in repeats.remove_repeats(df).collect()) == [(0, 0), (310, 310), (310, 310)]
 
 
-def test_longest_factors_equal_brute_force():
-    from claimlake.llm.repeats import longest_factors, suffix_order
+def test_longest_previous_factors_equal_brute_force():
+    from claimlake.llm.repeats import previous_factors, suffix_order
 
     rng = random.Random(10)
     for span in (8, 19, 200):
@@ -674,10 +674,12 @@ def test_longest_factors_equal_brute_force():
                 return next((k for k in range(span) if t[i + k] != t[j + k]), span)
 
             assert all(lcp[k] == shared(order[k - 1], order[k]) for k in range(1, len(order)))
-            before, after = longest_factors(np.frombuffer(t, dtype=np.uint8), starts, span)
-            for i in range(len(starts)):
-                assert before[i] == max((shared(i, j) for j in range(i)), default=0)
-                assert after[i] == max((shared(i, j) for j in range(i + 1, len(starts))), default=0)
+            for least in (1, 5):
+                lpf, place = previous_factors(order, lcp, span, least)
+                for i in range(len(starts)):
+                    most = max((shared(i, j) for j in range(i)), default=0)
+                    assert lpf[i] == (most if most >= least else 0)
+                    assert (place[i] == -1) if not lpf[i] else (0 <= place[i] < i and shared(i, place[i]) == most)
 
 
 def brute_keep_first(texts, span=200):
