@@ -206,7 +206,8 @@ def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     plan = work.save(plan, "plan")
     held = docs.withColumn(h, key)
     columns = common.columns(docs)
-    alone = held.join(plan.where(F.col(times) == 1), F.col(h) == F.col(k))
+    # The plan grows with the documents, so it is joined by key at every size.
+    alone = held.join(plan.where(F.col(times) == 1).hint("merge"), F.col(h) == F.col(k))
     out = alone.withColumn(number, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*columns)
     repeated = plan.where(F.col(times) > 1)
     if repeated.limit(1).count():

@@ -631,12 +631,16 @@ def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     The smallest doc_id's text is the one with the smallest row key, should rows of several texts have it.
     """
     work = common.Workspace(spark, "keep_one")
-    found = work.save(linked_sets(docs, work), "found").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = work.save(linked_sets(docs, work), "found")
+    work.drop("active", "open", "near")
+    work.free_shuffles()
+    found = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     one = found.where("n_shingles > 0").groupBy("comp").agg(F.min(F.struct("k1", "k2")).alias("k")).select("k.k1", "k.k2")
     every = found.where("n_shingles = 0").select("k1", "k2").distinct()
     h1, h2, once, number = common.unused(docs, "_h1", "_h2", "_once", "_number")
     keep = one.withColumn(once, F.lit(True)).unionByName(every.withColumn(once, F.lit(False))).withColumnsRenamed({"k1": h1, "k2": h2})
     k1, k2 = row_keys(F.col("doc_id").cast("long"), F.col("text"))
-    joined = docs.withColumns({h1: k1, h2: k2}).join(keep, [h1, h2])
+    # What stays grows with the documents, so it is joined by key at every size.
+    joined = docs.withColumns({h1: k1, h2: k2}).join(keep.hint("merge"), [h1, h2])
     first = F.row_number().over(Window.partitionBy(h1, h2).orderBy(h1))
     return joined.withColumn(number, first).where(~F.col(once) | (F.col(number) == 1)).select(*common.columns(docs))
