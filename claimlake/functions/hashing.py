@@ -84,14 +84,31 @@ def source_id(path: Column, content_sha256: Column) -> Column:
 
 
 def idempotency_key(target: Column, run_id: Column, candidate_id: Column, version: Column, payload_sha256: Column) -> Column:
-    """Digest of five fields in canonical form; the values hold no characters that JSON escapes."""
+    """Digest of five fields in canonical form; a null field gives null."""
     body = F.concat(
-        F.lit('{"candidate_id":"'), candidate_id, F.lit('","payload_sha256":"'), payload_sha256, F.lit('","run_id":"'), run_id,
-        F.lit('","target":"'), target, F.lit('","version":'), version.cast("string"), F.lit("}"),
+        F.lit('{"candidate_id":'), json_string(candidate_id), F.lit(',"payload_sha256":'), json_string(payload_sha256), F.lit(',"run_id":'), json_string(run_id),
+        F.lit(',"target":'), json_string(target), F.lit(',"version":'), version.cast("string"), F.lit("}"),
     )
     return F.sha2(body, 256)
 
 
+def json_string(col: Column) -> Column:
+    """A string as JSON spells it, with quotes and escapes."""
+    listed = F.to_json(F.array(col))
+    return F.when(col.isNotNull(), F.substring(listed, F.lit(2), F.length(listed) - 2))
+
+
+def row_json(df) -> Column:
+    """A whole row as JSON text, nulls kept: what seals and interchange lines are made of."""
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+
+
+def with_seal(df):
+    """The relation with content_sha256 over all its columns but the derived ones."""
+    plain = df.drop("content_sha256")
+    return plain.withColumn("content_sha256", sealed(row_json(plain)))
+
+
 def numbered_id(prefix: str, width: int, *parts: Column) -> Column:
     """Identifiers such as u-<source>-0001: prefix, parts, zero-padded number last."""
     *names, number = parts

@@ -98,14 +98,17 @@ def fold_breaks(col: Column) -> Column:
 
 
 def is_quantitative(col: Column) -> Column:
-    """Whether a statement has a number with quantitative force (null and empty: false)."""
+    """Whether a statement has a number with quantitative force (null and empty: false).
+
+    Every pattern needs a digit, so text without one is decided by one look at it.
+    """
     left = col
     for pattern in NOT_QUANTITATIVE:
         left = F.regexp_replace(left, pattern, " ")
     found = F.lit(False)
     for pattern in QUANTITATIVE:
         found = found | left.rlike(pattern)
-    return F.coalesce(found, F.lit(False))
+    return F.when(col.rlike(r"(?U)\d"), F.coalesce(found, F.lit(False))).otherwise(F.lit(False))
 
 
 def known_only(values: Column, known: tuple[str, ...]) -> Column:
@@ -192,7 +195,7 @@ def digits(col: Column) -> Column:
 
 
 def is_numeric_cell(col: Column) -> Column:
-    return col.rlike(r"^[\s$€£(]*-?[\d,.()]+\s*[)%]?\s*$") & col.rlike(r"\d")
+    return col.rlike(r"^[\s$€£(]*-?[\d,.]+\s*[)%]?\s*$") & col.rlike(r"\d")
 
 
 def is_period_label(col: Column) -> Column:

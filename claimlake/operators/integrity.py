@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import hashing as H
 from ..functions import text as T
-from . import records
+from . import locate, records
 
 SCHEMA = "rule string, level string, kind string, id string, message string"
 
@@ -150,7 +150,10 @@ def references(rel: dict[str, DataFrame]) -> list[DataFrame]:
 
 
 def orphans(rel: dict[str, DataFrame]) -> list[DataFrame]:
-    """V12, V15, V8: kept units that nothing carries, sources without units, assets without links."""
+    """V12, V15, V8: kept units that nothing carries, sources without units, assets that were never linked.
+
+    Assets without links are a warning only where linking never ran; else ``report`` counts them.
+    """
     out = []
     if "approved" in rel:
         carried = rel["approved"].select(F.explode("source_unit_ids").alias("unit_id")).distinct()
@@ -160,9 +163,23 @@ def orphans(rel: dict[str, DataFrame]) -> list[DataFrame]:
         out.append(_rows(lost, "V12", "warning", "units", F.col("unit_id"), F.when(guarded, "protected unit carried by nothing").otherwise("unit carried by nothing")))
     quiet = rel["source_registry"].where("normalization_status = 'success'").join(rel["units"].select("source_id").distinct(), "source_id", "left_anti")
     out.append(_rows(quiet, "V15", "warning", "source_registry", F.col("source_id"), F.lit("source without units")))
+    if "assets" in rel and "asset_links" not in rel:
+        n = rel["assets"].agg(F.count(F.lit(1)).alias("n")).where("n > 0")
+        out.append(_rows(n, "V8", "warning", "assets", F.lit(""), F.concat(F.col("n").cast("string"), F.lit(" assets without links, as linking never ran"))))
     return out
 
 
+def unrelated_assets(rel: dict[str, DataFrame]) -> int:
+    """Assets without links where linking ran (V8's count)."""
+    return locate.orphan_assets(rel["assets"], rel["asset_links"]).count() if {"assets", "asset_links"} <= set(rel) else 0
+
+
+def as_json(rel: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """(id, json) rows of the relations that are sealed."""
+    keys = ID_OF | {"omissions": "omission_id"}
+    return {n: rel[n].select(F.col(keys[n]).alias("id"), H.row_json(rel[n]).alias("json")) for n in SEALED if n in rel and "content_sha256" in rel[n].columns}
+
+
 def audits_and_events(rel: dict[str, DataFrame]) -> list[DataFrame]:
     """V13, V14: audits of unknown candidates or by the proposer, events of unapproved rows or without audits."""
     out = []
@@ -180,7 +197,11 @@ def audits_and_events(rel: dict[str, DataFrame]) -> list[DataFrame]:
 
 
 def validate(spark: SparkSession, rel: dict[str, DataFrame], rel_json: dict[str, DataFrame] | None = None, files: DataFrame | None = None) -> DataFrame:
-    """Violations of all rules over the relations at hand (``texts`` has source_id and text)."""
+    """Violations of all rules over the relations at hand (``texts`` has source_id and text, ``files`` path and content).
+
+    Seals are checked over ``rel_json``, or over the relations themselves.
+    """
+    files = rel.get("files") if files is None else files
     parts = [missing_artifacts(spark, list(rel)), *ids(rel), *slugs(rel)]
     if "source_registry" in rel:
         parts += originals(rel, files)
@@ -191,7 +212,7 @@ def validate(spark: SparkSession, rel: dict[str, DataFrame], rel_json: dict[str,
     if "units" in rel and "source_registry" in rel:
         parts += orphans(rel)
     parts += audits_and_events(rel)
-    parts += seals(rel_json or {})
+    parts += seals(as_json(rel) if rel_json is None else rel_json)
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -198,9 +198,10 @@ def span_links(assets: DataFrame, evidence: DataFrame) -> DataFrame:
 
 
 def apply_links(units: DataFrame, links: DataFrame) -> DataFrame:
-    """Units with the sorted ids of their assets; null where none."""
+    """Units with the sorted ids of their assets (null where none), sealed again."""
     ids = links.groupBy("unit_id").agg(F.sort_array(F.collect_set("asset_id")).alias("related_asset_ids"))
-    return units.join(ids, "unit_id", "left")
+    linked = units.drop("related_asset_ids").join(ids, "unit_id", "left")
+    return H.with_seal(linked) if "content_sha256" in units.columns else linked
 
 
 def orphan_assets(assets: DataFrame, links: DataFrame) -> DataFrame:

@@ -50,11 +50,15 @@ def load_cues(path: str) -> dict[str, tuple[str, ...]]:
 
 
 def protections(statement, cues: dict[str, tuple[str, ...]] = CUES):
-    """Array of (label, cue): for each kind the first cue that matches, kinds in order."""
+    """Array of (label, cue): for each kind the first cue that matches, kinds in order.
+
+    One pattern of all cues of a kind decides whether any matches; only then are they tried in order.
+    """
     hits = []
     for label, patterns in cues.items():
+        any_of = "(?iU)" + "|".join(f"(?:{p})" for p in patterns)
         cue = F.coalesce(*[F.when(statement.rlike(f"(?iU){p}"), F.lit(p)) for p in patterns])
-        hits.append(F.struct(F.lit(label).alias("label"), cue.alias("cue")))
+        hits.append(F.struct(F.lit(label).alias("label"), F.when(statement.rlike(any_of), cue).alias("cue")))
     return F.filter(F.array(*hits), lambda h: h["cue"].isNotNull())
 
 

@@ -85,8 +85,7 @@ def extract(run: Run, reg: DataFrame, assets: DataFrame, answer: Answer, model:
             "modality": T.one_of(F.col("modality"), T.MODALITIES), "flags": T.known_only(F.coalesce("flags", F.array().cast("array<string>")), T.FLAGS), "node_kind": T.one_of(F.col("node_kind"), T.NODE_KINDS, "unit"),
             "entity_mentions": T.mentions(F.coalesce("entity_mentions", F.array().cast("array<struct<surface:string,line:string>>"))), "quantitative": T.is_quantitative(F.col("canonical_statement")), "candidate_topics": F.coalesce("candidate_topics", F.array().cast("array<string>")),
         })
-        sealed = H.sealed(F.to_json(F.struct("unit_id", "source_id", "canonical_statement", "grounding", "decision", "evidence"), {"ignoreNullFields": "false"}))
-        return retention.annotate(u.withColumn("content_sha256", sealed))
+        return retention.annotate(H.with_seal(u))
 
     made = run.stage("units_unlinked", [answered.select("key", "response")], units)
     links = run.stage("asset_links", [made.select("unit_id", "content_sha256")], lambda: locate.span_links(assets, made.select("source_id", "unit_id", F.posexplode("evidence").alias("ord", "e")).select("source_id", "unit_id", "ord", F.col("e.normalized_char_start").alias("char_start"), F.col("e.normalized_char_end").alias("char_end"), F.col("e.asset_ref.asset_id").alias("cited_asset_id"))))
@@ -108,7 +107,7 @@ def route(run: Run, units: DataFrame, checkpoint) -> DataFrame:
         pairs = lex.select("i", "j").unionByName(meta).distinct().join(lex.select("i", "j", "lexical"), ["i", "j"], "left").join(a, "i").join(b, "j")
         score = F.coalesce("lexical", F.lit(0.0)) + similarity.affinity(F.col("t1"), F.col("t2"), F.col("e1"), F.col("e2"), F.col("g1"), F.col("g2"))
         named = similarity.number_clusters(similarity.clusters(pairs.select("i", "j", score.alias("score")), index.select(F.col("unit_id").alias("id")), checkpoint))
-        return named.join(kept.select(F.col("unit_id").alias("id"), "independence_group"), "id").groupBy("cluster_id").agg(F.array_sort(F.collect_list("id")).alias("unit_ids"), F.sort_array(F.collect_set("independence_group")).alias("independence_groups")).withColumn("routing_confidence", F.lit(0.8))
+        return H.with_seal(named.join(kept.select(F.col("unit_id").alias("id"), "independence_group"), "id").groupBy("cluster_id").agg(F.array_sort(F.collect_list("id")).alias("unit_ids"), F.sort_array(F.collect_set("independence_group")).alias("independence_groups")).withColumn("routing_confidence", F.lit(0.8)))
 
     return run.stage("clusters", [units.select("unit_id", "content_sha256")], made)
 
@@ -124,7 +123,7 @@ def assess(run: Run, clusters: DataFrame, units: DataFrame, answer: Answer, mode
         empty = F.array().cast("array<string>")
         raw = raw.withColumns({"opposing_unit_ids": F.coalesce("opposing_unit_ids", empty), "qualifying_unit_ids": F.coalesce("qualifying_unit_ids", empty), "source_validity_flags": empty})
         n = decisions.numbered(raw, "asmt", 4, ["key", "raw_index"], "assessment_id").drop("key", "raw_index")
-        return decisions.correct_assessments(decisions.independence_groups(n, units))
+        return H.with_seal(decisions.correct_assessments(decisions.independence_groups(n, units)))
 
     return run.stage("claim_assessments", [clusters], made)
 
@@ -137,7 +136,7 @@ def plan(run: Run, assessments: DataFrame, answer: Answer, model: str) -> DataFr
         got = ask(shown.select(F.col("cluster_id").alias("key"), "user"), "plan", answer, f"items {CANDIDATES}", model)
         raw = got.select(F.col("key").alias("cluster_id"), F.posexplode("answer.items").alias("raw_index", "c")).select("cluster_id", "raw_index", "c.*").where("title IS NOT NULL AND assertions IS NOT NULL AND source_unit_ids IS NOT NULL")
         n = decisions.numbered(raw, "cand", 3, ["cluster_id", "raw_index"], "candidate_id").drop("raw_index")
-        return n.withColumns({"candidate_version": F.lit(1), "slug": T.leaf_slug(F.col("title")), "audit_required": F.lit(True)})
+        return H.with_seal(n.withColumns({"candidate_version": F.lit(1), "slug": T.leaf_slug(F.col("title")), "audit_required": F.lit(True)}))
 
     return run.stage("candidates", [assessments], made)
 
@@ -160,10 +159,10 @@ def audit(run: Run, candidates: DataFrame, assessments: DataFrame, units: DataFr
         empty = F.array().cast("array<string>")
         a = got.select(F.col("key").alias("candidate_id"), T.one_of(F.col("answer.verdict"), decisions.VERDICTS, "defer").alias("verdict"), F.coalesce("answer.findings", empty).alias("findings"), F.coalesce("answer.required_fixes", empty).alias("required_fixes"), F.col("answer.correction").alias("correction")).join(checks, "candidate_id")
         mechanical = F.create_map(F.lit("citation_accuracy"), F.col("c"), F.lit("provenance_integrity"), F.col("p"), F.lit("independence_inflation"), F.col("i"))
-        return decisions.escalate(a.withColumns({"mechanical": mechanical, "audit_id": F.concat(F.lit("audit-"), "candidate_id"), "auditor_model": F.lit(auditor), "auditor_distinct_from_proposer": F.lit(planner != auditor)}).drop("c", "p", "i"))
+        return H.with_seal(decisions.escalate(a.withColumns({"mechanical": mechanical, "audit_id": F.concat(F.lit("audit-"), "candidate_id"), "auditor_model": F.lit(auditor), "auditor_distinct_from_proposer": F.lit(planner != auditor)}).drop("c", "p", "i")))
 
     audits = run.stage("audits", [candidates], made)
-    approved = run.stage("approved", [audits.select("audit_id", "verdict")], lambda: decisions.approve(candidates, audits))
+    approved = run.stage("approved", [audits.select("audit_id", "verdict")], lambda: H.with_seal(decisions.approve(candidates, audits)))
     carried = approved.select(F.explode("source_unit_ids").alias("unit_id"))
     counts = lambda: records.coverage(units, carried).crossJoin(F.broadcast(approved.agg(F.coalesce(F.sum(F.size("assertions")), F.lit(0)).alias("assertions_out"))))  # noqa: E731  one row each
     return audits, approved, run.stage("corpus_coverage", [approved.select("candidate_id")], counts)
@@ -193,4 +192,4 @@ def run_all(run: Run, files: DataFrame, answer: Answer, checkpoint, planner: str
     audits, approved, coverage = audit(run, candidates, assessments, units, answer, planner, auditor)
     events = enqueue(run, approved, links)
     manifest = run.manifest({"sources": reg.count(), "units": units.count(), "events": events.count()}, {"planner": planner, "auditor": auditor})
-    return {"source_registry": reg, "texts": reg.where("text IS NOT NULL").select("source_id", "text"), "locator_map": seg, "assets": assets, "units": units, "rejects": rejects, "asset_links": links, "clusters": clusters, "claim_assessments": assessments, "candidates": candidates, "audits": audits, "approved": approved, "corpus_coverage": coverage, "enqueue": events, "run_manifest": manifest}
+    return {"files": files, "source_registry": reg, "texts": reg.where("text IS NOT NULL").select("source_id", "text"), "locator_map": seg, "assets": assets, "units": units, "rejects": rejects, "asset_links": links, "clusters": clusters, "claim_assessments": assessments, "candidates": candidates, "audits": audits, "approved": approved, "corpus_coverage": coverage, "enqueue": events, "run_manifest": manifest}

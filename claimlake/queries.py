@@ -43,6 +43,8 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     """Written to the shared checkpoint folder, so loops keep short plans and survive lost executors."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: executors need a folder that they share")
         spark.sparkContext.setCheckpointDir("file:///tmp/checkpoints")
     return df.checkpoint()
 
