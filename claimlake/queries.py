@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql.window import Window
 
 from .functions import hashing as H
 from .functions import text as T
-from .operators import locate, records, retention, similarity
+from .operators import grids, integrity, locate, records, retention, similarity
 from .sources import intake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -334,16 +335,6 @@ def pending_frontier(spark, sf_dir):
     return records.pending(asked, given, "_k").drop("_k")
 
 
-@query("""SELECT r_name, n_name, count(*) AS n_lines, count(DISTINCT o_orderkey) AS n_orders, round(sum(l_extendedprice), 2) AS value FROM lineitem JOIN orders ON l_orderkey = o_orderkey
- JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
-def trace_chain(spark, sf_dir):
-    r = lambda n: read(spark, sf_dir, n)
-    chain = r("lineitem").join(r("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(r("customer"), F.col("o_custkey") == F.col("c_custkey"))
-    chain = chain.join(r("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(r("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    by_order = chain.groupBy("r_name", "n_name", "o_orderkey").agg(F.count(F.lit(1)).alias("c"), F.sum("l_extendedprice").alias("v"))
-    return by_order.groupBy("r_name", "n_name").agg(F.sum("c").alias("n_lines"), F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("v"), 2).alias("value"))
-
-
 @query("""WITH d AS (SELECT doc_id, text, list_filter(list_transform(regexp_extract_all(text, '-?\\(?\\$?\\d[\\d,]*\\.?\\d*\\)?%?'), lambda x: regexp_replace(x, '[^\\d.]', '', 'g')), lambda x: x <> '' AND x <> '.') AS t FROM documents WHERE text IS NOT NULL),
 h AS (SELECT doc_id - 1 AS doc_id, regexp_replace(text, '[^\\d.]', '', 'g') AS h FROM documents WHERE text IS NOT NULL),
 j AS (SELECT d.doc_id, t, list_filter(t, lambda x: strpos(coalesce(h, ''), x) = 0) AS m FROM d LEFT JOIN h ON d.doc_id = h.doc_id)
@@ -355,27 +346,129 @@ def numeric_reconcile(spark, sf_dir):
     return out.withColumn("not_found", F.array_join("not_found", ","))
 
 
-_ROW = r"(?:\s|^)-?[\d(][\d,.()%]{2,}(?:\s+-?[\d(][\d,.()%]{2,}){2,}"
-_MATH = r"[=<>]\s*\[|\]\s*/|[A-Za-z]\s*,\s*[a-z]\s*[/)]"
+def _paged(spark, sf_dir):
+    """A text for each order: a page for each line item, with prices in columns, a caption on even pages, damaged formulas on returned ones."""
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", F.format_string("%.2f", "l_extendedprice").alias("price"), F.format_string("%.2f", "l_discount").alias("less"), F.format_string("%.2f", "l_tax").alias("tax"))
+    row = F.concat_ws(" ", F.lit("item"), "price", "less", "tax")
+    lines = F.array(
+        F.concat(F.lit("[[PAGE "), F.col("l_linenumber").cast("string"), F.lit("]]")), row, F.when(F.col("l_quantity") > 25, row), F.when(F.col("l_quantity") > 25, row), F.lit("plain words only"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("Figure "), F.col("l_linenumber").cast("string"), F.lit(". Prices"))), F.when(F.col("l_returnflag") == "R", F.lit("where x = [ a and y > [ b")),
+    )
+    page = F.array_join(F.filter(lines, lambda x: x.isNotNull()), "\n")
+    pages = li.select("l_orderkey", F.struct("l_linenumber", page.alias("t")).alias("p")).groupBy("l_orderkey").agg(F.array_sort(F.collect_list("p")).alias("ps"))
+    return pages.select(F.col("l_orderkey").cast("string").alias("source_id"), F.array_join(F.transform("ps", lambda x: x["t"]), "\n").alias("text"))
 
 
-@query(f"""WITH {_LINES}, p AS (SELECT doc_id, CAST(pos // 5 + 1 AS INTEGER) AS page, pos, line FROM lines),
-g AS (SELECT doc_id, page, CAST(sum(len(regexp_extract_all(line, '{_MATH}'))) AS BIGINT) AS math_marks, count(*) FILTER (regexp_matches(line, '{_ROW}')) AS table_rows,
- min_by(regexp_extract(line, '^\\s*((?:Figure|FIGURE|Fig\\.|Chart|Exhibit|Plate)\\s+\\d+[.:][^\\n]*)', 1), pos) FILTER (regexp_matches(line, '^\\s*(?:Figure|FIGURE|Fig\\.|Chart|Exhibit|Plate)\\s+\\d+[.:]')) AS figure_caption FROM p GROUP BY ALL)
-SELECT CAST(doc_id AS VARCHAR) AS source_id, page, math_marks, table_rows, figure_caption FROM g WHERE math_marks >= 2 OR table_rows >= 3 OR figure_caption IS NOT NULL""")
+@query("""WITH p AS (SELECT CAST(l_orderkey AS VARCHAR) AS source_id, CAST(l_linenumber AS INTEGER) AS page, CAST(sum(CASE WHEN l_returnflag = 'R' THEN 2 ELSE 0 END) AS BIGINT) AS math_marks,
+ CAST(sum(CASE WHEN l_quantity > 25 THEN 3 ELSE 1 END) AS BIGINT) AS table_rows, CASE WHEN l_linenumber % 2 = 0 THEN 'Figure ' || l_linenumber || '. Prices' END AS figure_caption FROM lineitem GROUP BY l_orderkey, l_linenumber)
+SELECT * FROM p WHERE math_marks >= 2 OR table_rows >= 3 OR figure_caption IS NOT NULL""")
 def page_signals(spark, sf_dir):
-    lines = _lines(spark, sf_dir).withColumn("_p", F.floor(F.col("pos") / 5))
-    paged = lines.groupBy("doc_id", "_p").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda s: s["line"]).alias("l"))
-    page = F.concat(F.lit("[[PAGE "), (F.col("_p") + 1).cast("string"), F.lit("]]\n"), F.array_join("l", "\n"))
-    texts = paged.select("doc_id", "_p", page.alias("t")).groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_p", "t"))), lambda s: s["t"]), "\n").alias("text"))
-    return locate.page_signals(texts.select(F.col("doc_id").cast("string").alias("source_id"), "text"), math=_MATH, row=_ROW).drop("reasons")
+    return locate.page_signals(_paged(spark, sf_dir)).drop("reasons")
+
 
+def _assets(rows, markup: str, raw):
+    """Recovered assets of one generated document for each row; ``source_id`` comes with the rows."""
+    return grids.assets(rows.select("source_id", F.lit(markup).alias("markup"), raw.alias("raw")))
 
-@query("""WITH f AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?ms)^\\s*\\$\\$\\s*$(.*?)^\\s*\\$\\$\\s*$', 1)) AS l FROM documents WHERE text IS NOT NULL),
-n AS (SELECT doc_id, trim(regexp_replace(l, '\\s+', ' ', 'g')) AS latex FROM f) SELECT doc_id, latex FROM n WHERE length(latex) >= 3""")
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS source_id, u.latex FROM part, (SELECT unnest(['x_{' || p_partkey || '} = ' || p_size, 'y \\leq ' || p_size || ' + z']) AS latex) u""")
 def md_formulas(spark, sf_dir):
-    found = F.regexp_extract_all("text", F.lit(r"(?ms)^\s*\$\$\s*$(.*?)^\s*\$\$\s*$"), F.lit(1))
-    return _sources(spark, sf_dir).select("doc_id", F.explode(found).alias("l")).select("doc_id", T.squeeze(F.col("l")).alias("latex")).where(F.length("latex") >= 3)
+    rows = read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("source_id"), "p_partkey", "p_size", "p_name")
+    raw = F.concat(F.lit("# "), "p_name", F.lit("\n\n$$\n  x_{"), F.col("p_partkey"), F.lit("} =  "), F.col("p_size"), F.lit("\n$$\n\ncosts $5 only\n```math\ny \\leq "), F.col("p_size"), F.lit("\n + z\n```\n"))
+    return _assets(rows, "markdown", raw).where("kind = 'formula'").select("source_id", F.get_json_object("payload", "$.latex").alias("latex"))
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS source_id, u.kind, u.text FROM part, (SELECT unnest([{'kind': 'formula', 'text': 'a_{' || p_partkey || '} + b'}, {'kind': 'formula', 'text': 'c^' || p_size || ' = d'},
+ {'kind': 'figure', 'text': 'Price of part ' || p_partkey}, {'kind': 'figure', 'text': 'a long picture of part ' || p_partkey || ' on a table'}], recursive := true)) u""")
+def html_formulas_figures(spark, sf_dir):
+    rows = read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("source_id"), "p_partkey", "p_size")
+    k, z = F.col("p_partkey"), F.col("p_size")
+    raw = F.concat(
+        F.lit("<p>See <math display=block alttext='a_{"), k, F.lit("} + b'><mi>a</mi></math> and <math><annotation encoding='application/x-tex'>c^"), z,
+        F.lit(' = d</annotation></math></p><figure><img src="p.png" alt="x"/><figcaption>Price of <b>part</b> '), k, F.lit("</figcaption></figure><img src='q.png' class=\"iconic\" alt='a long picture of part "), k,
+        F.lit(" on a table'><img src='r.png' class='spacer' alt='a long description of nothing at all here'><img src='s.png' alt='short'>"),
+    )
+    return _assets(rows, "html", raw).where("kind <> 'table'").select("source_id", "kind", F.when(F.col("kind") == "formula", F.get_json_object("payload", "$.latex")).otherwise(F.col("text")).alias("text"))
+
+
+def _tables(spark, sf_dir, markup: str):
+    """A table for each nation: name, balance and segment of its first customers, as HTML or Markdown."""
+    c = read(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_name", "c_mktsegment", F.format_string("%.2f", "c_acctbal").alias("bal"))
+    first = c.withColumn("k", F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey"))).where("k <= 25")
+    if markup == "html":
+        row, head = F.concat(F.lit("<tr><td>"), "c_name", F.lit("</td><td>"), "bal", F.lit("</td><td> "), "c_mktsegment", F.lit("</td></tr>")), "<table><tr><th>Name</th><th>Balance</th><th>Segment</th></tr>"
+    else:
+        row, head = F.concat(F.lit("| "), "c_name", F.lit(" | "), "bal", F.lit(" | "), "c_mktsegment", F.lit(" |")), "| Name | Balance | Segment |\n|---|--:|:-:|"
+    by = first.groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct("k", row.alias("r")))).alias("rs"))
+    raw = F.concat(F.lit(head + "\n"), F.array_join(F.transform("rs", lambda x: x["r"]), "\n"), F.lit("</table>" if markup == "html" else "\n"))
+    return _assets(by.withColumn("source_id", F.col("c_nationkey").cast("string")), markup, raw).where("kind = 'table'")
+
+
+_CELLS = """WITH f AS (SELECT CAST(c_nationkey AS VARCHAR) AS source_id, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS k, c_name, printf('%.2f', c_acctbal) AS bal, c_mktsegment FROM customer),
+b AS (SELECT source_id, CAST(k AS INTEGER) AS row, u.col, u.text FROM f, (SELECT unnest([{'col': 0, 'text': c_name}, {'col': 1, 'text': bal}, {'col': 2, 'text': c_mktsegment}], recursive := true)) u WHERE k <= 25),
+h AS (SELECT DISTINCT source_id, 0 AS row, u.col, u.text FROM f, (SELECT unnest([{'col': 0, 'text': 'Name'}, {'col': 1, 'text': 'Balance'}, {'col': 2, 'text': 'Segment'}], recursive := true)) u),
+cells AS (SELECT source_id, row, CAST(col AS INTEGER) AS col, text, false AS is_header FROM b UNION ALL SELECT source_id, row, CAST(col AS INTEGER), text, true FROM h)
+"""
+
+
+@query(_CELLS + "SELECT * FROM cells")
+def html_table_cells(spark, sf_dir):
+    return grids.cells(_tables(spark, sf_dir, "html")).select("source_id", "row", "col", "text", "is_header")
+
+
+@query(_CELLS + "SELECT * FROM cells")
+def markdown_table_cells(spark, sf_dir):
+    return grids.cells(_tables(spark, sf_dir, "markdown")).select("source_id", "row", "col", "text", "is_header")
+
+
+@query("""WITH d AS (SELECT doc_id, text, CASE WHEN doc_id % 3 = 2 THEN substr(text, 5, 30) || ' zzqx' ELSE substr(text, 11, 60) END AS x FROM documents WHERE length(text) >= 90)
+SELECT doc_id, x AS excerpt, strpos(text, x) > 0 AS excerpt_verified, CASE WHEN strpos(text, x) > 0 THEN strpos(text, x) - 1 END AS char_start, CASE WHEN strpos(text, x) > 0 THEN strpos(text, x) - 1 + length(x) END AS char_end FROM d""")
+def evidence_resolved(spark, sf_dir):
+    docs = _sources(spark, sf_dir).where(F.length("text") >= 90)
+    quote = F.when(F.col("doc_id") % 3 == 2, F.concat(F.substring("text", 5, 30), F.lit(" zzqx"))).otherwise(F.substring("text", 11, 60))
+    e = docs.select("doc_id", "source_id", quote.alias("excerpt"), F.lit(1).cast("long").alias("line_start"), F.lit(1).cast("long").alias("line_end"), F.lit("supporting").alias("role"), F.lit(None).cast("string").alias("asset_id"))
+    none = spark.createDataFrame([], "source_id string, asset_id string, kind string, text string, latex string, fidelity string")
+    return locate.resolve_evidence(e, docs.select("source_id", "text"), none).select("doc_id", "excerpt", "excerpt_verified", "char_start", "char_end")
+
+
+@query("""SELECT o_orderkey AS unit_id, sha256('{"note":null,"o_clerk":' || to_json('c"' || o_orderkey || chr(92)) || ',"o_custkey":' || o_custkey || ',"unit_id":' || o_orderkey || '}') AS content_sha256 FROM orders""")
+def unit_seals(spark, sf_dir):
+    o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("unit_id"), F.col("o_custkey").cast("long").alias("o_custkey"), F.concat(F.lit('c"'), "o_orderkey", F.lit("\\")).alias("o_clerk"), F.lit(None).cast("string").alias("note"), F.lit("required").alias("modality"))
+    return H.with_seal(o).select("unit_id", "content_sha256")
+
+
+@query("""SELECT 'V6' AS rule, CAST(o_orderkey AS VARCHAR) AS id FROM orders WHERE o_orderkey % 97 = 0
+UNION ALL SELECT 'V12', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 5 <> 0 UNION ALL SELECT 'V15', CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+UNION ALL SELECT 'V10', CAST(l_suppkey AS VARCHAR) FROM (SELECT DISTINCT l_suppkey, l_orderkey FROM lineitem) WHERE l_orderkey % 2 = 1 AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0)
+UNION ALL SELECT 'V8', '' FROM (SELECT count(*) AS n FROM part) WHERE n > 0""")
+def integrity_rules(spark, sf_dir):
+    orders = read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("unit_id"), F.col("o_orderkey").alias("k"), F.col("o_custkey").cast("string").alias("source_id"), F.lit("keep").alias("decision"))
+    sealed = H.with_seal(orders).withColumn("decision", F.when(F.col("k") % 97 == 0, "review").otherwise(F.col("decision")))  # edited after sealing
+    sources = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("source_id"), F.lit("success").alias("normalization_status"))
+    clusters = read(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").cast("string").alias("cluster_id")).agg(F.collect_set(F.col("l_orderkey").cast("string")).alias("unit_ids"))
+    approved = orders.where("k % 5 = 0").groupBy(F.col("source_id").alias("candidate_id")).agg(F.collect_list("unit_id").alias("source_unit_ids"))
+    kept = {"units": orders, "source_registry": sources, "approved": approved, "assets": read(spark, sf_dir, "part")}
+    parts = [*integrity.seals(integrity.as_json({"units": sealed})), *integrity.orphans(kept), *integrity.references({"clusters": clusters, "units": orders.where("k % 2 = 0")})]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("rule", "id")
+
+
+@query("""WITH u AS (SELECT DISTINCT n_nationkey, c_custkey FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE n_nationkey = 7), e AS (SELECT o_orderkey, o_custkey FROM orders JOIN u ON o_custkey = c_custkey WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))
+SELECT 1 AS depth, 'candidate' AS kind, '7' AS id, NULL AS parent_id WHERE EXISTS (SELECT 1 FROM u) UNION ALL SELECT 2, 'assessment', 'a' || c_custkey, '7' FROM u
+UNION ALL SELECT 3, 'unit', CAST(o_orderkey AS VARCHAR), 'a' || o_custkey FROM e UNION ALL SELECT DISTINCT 4, 'source', 'files/' || l_suppkey, CAST(o_orderkey AS VARCHAR) FROM e JOIN (SELECT l_orderkey, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
+def trace_chain(spark, sf_dir):
+    r = lambda n: read(spark, sf_dir, n)
+    empty = F.array().cast("array<string>")
+    a = r("customer").select(F.concat(F.lit("a"), "c_custkey").alias("assessment_id"), F.col("c_nationkey").cast("string").alias("candidate_id"), "c_custkey")
+    candidates = a.groupBy("candidate_id").agg(F.array(F.struct(F.collect_list("assessment_id").alias("assessment_ids"))).alias("assertions")).withColumn("source_unit_ids", empty)
+    held = r("orders").groupBy(F.concat(F.lit("a"), "o_custkey").alias("assessment_id")).agg(F.collect_list(F.col("o_orderkey").cast("string")).alias("supporting_unit_ids"))
+    assessments = held.withColumns({"opposing_unit_ids": empty, "qualifying_unit_ids": empty})
+    units = r("lineitem").groupBy(F.col("l_orderkey").cast("string").alias("unit_id")).agg(F.min("l_suppkey").cast("string").alias("source_id"))
+    registry = r("supplier").select(F.col("s_suppkey").cast("string").alias("source_id"), F.concat(F.lit("files/"), "s_suppkey").alias("original_path"))
+    events = spark.createDataFrame([], "queue_event_id string, candidate_id string")
+    return records.trace(events, candidates, assessments, units, registry, "7")
 
 
 @query("""WITH p AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS k, count(*) OVER (PARTITION BY source) AS n FROM documents WHERE text IS NOT NULL)
@@ -407,8 +500,15 @@ def handler_dispatch(spark, sf_dir):
 
 @query("""SELECT event_type, count(*) AS n, count(json_extract(props, '$.k')) AS n_k, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k FROM events GROUP BY event_type""")
 def json_ingest(spark, sf_dir):
-    parsed = read(spark, sf_dir, "events").select("event_type", F.from_json("props", "k long").alias("p"))
-    return parsed.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count("p.k").alias("n_k"), F.sum("p.k").alias("sum_k"))
+    """Events written as JSON lines to the shared folder and read back with a schema."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        _checkpoint(spark.range(1))
+    root = spark.sparkContext._jsc.sc().getCheckpointDir().get() if not spark.conf.get("spark.checkpoint.dir", None) else spark.conf.get("spark.checkpoint.dir")
+    path = f"{root.rstrip('/')}/claimlake/json-{uuid.uuid4().hex[:12]}"
+    lines = read(spark, sf_dir, "events").select(F.to_json(F.struct("event_type", F.from_json("props", "k long").alias("props"))).alias("value"))
+    lines.unionByName(spark.createDataFrame([("  ",)], "value string")).write.text(path)
+    parsed = intake.read_jsonl(spark, path, "event_type string, props struct<k:long>")
+    return parsed.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count("props.k").alias("n_k"), F.sum("props.k").alias("sum_k"))
 
 
 @query("""WITH r AS (SELECT doc_id, quality AS v FROM labels WHERE quality IS NOT NULL UNION ALL SELECT doc_id, 1 - toxic FROM labels WHERE toxic IS NOT NULL),
