@@ -421,7 +421,7 @@ def markdown_table_cells(spark, sf_dir):
     return grids.cells(_tables(spark, sf_dir, "markdown")).select("source_id", "row", "col", "text", "is_header")
 
 
-@query("""WITH d AS (SELECT doc_id, text, CASE WHEN doc_id % 3 = 2 THEN substr(text, 5, 30) || ' zzqx' ELSE substr(text, 11, 60) END AS x FROM documents WHERE length(text) >= 90)
+@query("""WITH d AS (SELECT doc_id, text, trim(CASE WHEN doc_id % 3 = 2 THEN substr(text, 5, 30) || ' zzqx' ELSE substr(text, 11, 60) END, ' ' || chr(9) || chr(10) || chr(13)) AS x FROM documents WHERE length(text) >= 90)
 SELECT doc_id, x AS excerpt, strpos(text, x) > 0 AS excerpt_verified, CASE WHEN strpos(text, x) > 0 THEN strpos(text, x) - 1 END AS char_start, CASE WHEN strpos(text, x) > 0 THEN strpos(text, x) - 1 + length(x) END AS char_end FROM d""")
 def evidence_resolved(spark, sf_dir):
     docs = _sources(spark, sf_dir).where(F.length("text") >= 90)
