@@ -488,15 +488,17 @@ def _near_links(active: DataFrame) -> DataFrame:
     about BLOCK_ROWS and BLOCK_TOKENS, another way for each sketch, and many small blocks are one
     group, so what a task holds is bounded (one very long class apart).
     """
-    keyed = active.select("cls", "n", "tokens", F.posexplode("sketch").alias("_k", "_s"))
+    spark = active.sparkSession
     weight = F.length("tokens") / 8
     crowd = active.select(weight.alias("w"), F.posexplode("sketch").alias("k", "s")).groupBy("k", "s").agg(F.count(F.lit(1)).alias("m"), F.sum("w").alias("w")).where("m > 1")
     crowd = crowd.select("k", "s", F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(F.col("w") / BLOCK_TOKENS)).alias("_parts"))
-    spark = active.sparkSession
     total = active.agg(F.coalesce(F.sum(weight), F.lit(0.0))).first()[0]
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(SKETCHES * total / GROUP_TOKENS) + 1)
     block = F.xxhash64("_k", "_s", F.pmod(F.xxhash64("cls", "_k"), F.col("_parts")))
-    dealt = keyed.join(crowd, (F.col("_s") == F.col("s")) & (F.col("_k") == F.col("k"))).select("cls", "n", "tokens", block.alias("_b"), F.pmod(block, F.lit(groups)).alias("_g"))
+    # Blocks are found on numbers alone; tokens move to their class's blocks afterwards.
+    keyed = active.select("cls", F.posexplode("sketch").alias("_k", "_s")).join(crowd, (F.col("_s") == F.col("s")) & (F.col("_k") == F.col("k")))
+    blocks = keyed.select("cls", block.alias("_b")).groupBy("cls").agg(F.collect_list("_b").alias("_bs"))  # SKETCHES at most
+    dealt = active.select("cls", "n", "tokens").join(blocks, "cls").select("cls", "n", "tokens", F.explode("_bs").alias("_b")).withColumn("_g", F.pmod("_b", F.lit(groups)))
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("_b", "ascending"), ("cls", "ascending")]).combine_chunks()
