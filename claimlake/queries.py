@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from .functions import hashing as H
 from .functions import text as T
 from .operators import grids, integrity, locate, records, retention, similarity
-from .sources import intake
+from .sources import intake, office
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -172,34 +172,10 @@ def bm25_topk(spark, sf_dir):
     return groups.select(F.array_join(F.transform("ids", lambda x: x.cast("string")), ",").alias("ids"))
 
 
-@query("""WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v, label FROM embeddings),
-p AS (SELECT a.vec_id AS i, b.vec_id AS j, list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) AS c, a.label = b.label AS same FROM e a JOIN e b ON b.vec_id = a.vec_id + 1)
-SELECT i, j, round(c, 9) AS cosine, round(0.5 * CASE WHEN same THEN 1 ELSE 0 END + 0.5 * greatest(0, c), 9) AS fused FROM p""")
-def hybrid_similarity(spark, sf_dir):
-    """Neighbouring ids (id, id + 1) only, with equality of label as the lexical half; ``hybrid_similarity_all`` is the whole job."""
-    e = read(spark, sf_dir, "embeddings")
-    nxt = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("vec_id").alias("j"), F.col("embedding").alias("_b"), F.col("label").alias("_l"))
-    cos = similarity.cosine(F.col("embedding"), F.col("_b"))
-    lex = F.when(F.col("label") == F.col("_l"), 1.0).otherwise(0.0)
-    return e.join(nxt, "vec_id").select(F.col("vec_id").alias("i"), "j", F.round(cos, 9).alias("cosine"), F.round(similarity.fused(lex, cos), 9).alias("fused"))
-
-
-@query("""WITH d AS (SELECT doc_id, [lang] AS topics, source, list_distinct(list_transform(regexp_extract_all(text, '[A-Z][a-z]+'), lambda x: lower(x))) AS e FROM documents WHERE text IS NOT NULL),
-p AS (SELECT a.doc_id AS i, b.doc_id AS j, len(list_intersect(a.topics, b.topics)) AS ti, len(list_distinct(list_concat(a.topics, b.topics))) AS tu,
- len(list_intersect(a.e, b.e)) AS ei, len(list_distinct(list_concat(a.e, b.e))) AS eu, a.source = b.source AS same FROM d a JOIN d b ON b.doc_id = a.doc_id + 1)
-SELECT i, j, round(CASE WHEN ti > 0 THEN 0.25 * ti / tu ELSE 0 END + CASE WHEN ei > 0 THEN 0.25 * ei / eu ELSE 0 END + CASE WHEN same THEN 0.1 ELSE 0 END, 9) AS affinity FROM p""")
-def affinity(spark, sf_dir):
-    """Neighbouring ids (id, id + 1) only; ``affinity_all`` is the whole job."""
-    d = _sources(spark, sf_dir).select("doc_id", F.array("lang").alias("t"), F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), F.lit(0))).alias("e"), "source")
-    nxt = d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("doc_id").alias("j"), F.col("t").alias("t2"), F.col("e").alias("e2"), F.col("source").alias("s2"))
-    score = similarity.affinity(F.col("t"), F.col("t2"), F.array_distinct(F.transform("e", F.lower)), F.array_distinct(F.transform("e2", F.lower)), F.col("source"), F.col("s2"))
-    return d.join(nxt, "doc_id").select(F.col("doc_id").alias("i"), "j", F.round(score, 9).alias("affinity"))
-
-
 @query(f"""WITH {_BM25}, v AS (SELECT item_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM benchmark LEFT JOIN embeddings ON vec_id = item_id),
 p AS (SELECT a.item_id AS i, b.item_id AS j, coalesce(CASE WHEN list_dot_product(a.v, a.v) > 0 AND list_dot_product(b.v, b.v) > 0 THEN list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) END, 0) AS c FROM v a JOIN v b ON a.item_id < b.item_id)
 SELECT p.i, p.j, round(coalesce(score / (SELECT max(score) FROM pairs), 0), 6) AS lexical, round(c, 9) AS cosine, round(0.5 * coalesce(score / (SELECT max(score) FROM pairs), 0) + 0.5 * greatest(0, c), 6) AS fused FROM p LEFT JOIN pairs ON pairs.i = p.i AND pairs.j = p.j""")
-def hybrid_similarity_all(spark, sf_dir):
+def hybrid_similarity(spark, sf_dir):
     """Every pair of benchmark items: BM25 over the greatest, cosine of their vectors (0 where one has none), both fused."""
     vectors = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("item_id"), "embedding")
     pairs = similarity.all_pairs(_bench(spark, sf_dir).select("item_id").join(vectors, "item_id", "left"), "item_id")
@@ -210,17 +186,16 @@ def hybrid_similarity_all(spark, sf_dir):
     return both.select("i", "j", F.round("lexical", 6).alias("lexical"), F.round("c", 9).alias("cosine"), F.round(similarity.fused(F.col("lexical"), F.col("c")), 6).alias("fused"))
 
 
-@query("""WITH d AS (SELECT doc_id, [lang] AS topics, source, list_distinct(list_transform(regexp_extract_all(text, '[A-Z][a-z]+'), lambda x: lower(x))) AS e FROM documents WHERE text IS NOT NULL),
-p AS (SELECT a.doc_id AS i, b.doc_id AS j, len(list_intersect(a.topics, b.topics)) AS ti, len(list_distinct(list_concat(a.topics, b.topics))) AS tu,
- len(list_intersect(a.e, b.e)) AS ei, len(list_distinct(list_concat(a.e, b.e))) AS eu, a.source = b.source AS same FROM d a JOIN d b ON a.doc_id < b.doc_id)
-SELECT * FROM (SELECT i, j, round(CASE WHEN ti > 0 THEN 0.25 * ti / tu ELSE 0 END + CASE WHEN ei > 0 THEN 0.25 * ei / eu ELSE 0 END + CASE WHEN same THEN 0.1 ELSE 0 END, 9) AS affinity FROM p) WHERE affinity > 0""")
-def affinity_all(spark, sf_dir):
-    """Every pair of documents that shares a language, an entity or a source; the rows grow with the square of the documents."""
-    named = F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), F.lit(0)), F.lower))
-    d = _sources(spark, sf_dir).select("doc_id", F.filter(F.array("lang"), lambda x: x.isNotNull()).alias("t"), named.alias("e"), "source")
-    score = similarity.affinity(F.col("a.t"), F.col("b.t"), F.col("a.e"), F.col("b.e"), F.col("a.source"), F.col("b.source"))
-    pairs = similarity.all_pairs(d, "doc_id")
-    return pairs.select(F.col("a.doc_id").alias("i"), F.col("b.doc_id").alias("j"), F.round(score, 9).alias("affinity")).where("affinity > 0")
+@query("""WITH d AS (SELECT item_id, list_distinct(regexp_extract_all(text, '[a-z]{9,}')) AS topics, list_distinct(list_transform(regexp_extract_all(text, '[A-Z][a-z]+'), lambda x: lower(x))) AS e, length(text) % 5 AS g FROM benchmark),
+p AS (SELECT a.item_id AS i, b.item_id AS j, len(list_intersect(a.topics, b.topics)) AS ti, len(list_distinct(list_concat(a.topics, b.topics))) AS tu,
+ len(list_intersect(a.e, b.e)) AS ei, len(list_distinct(list_concat(a.e, b.e))) AS eu, a.g = b.g AS same FROM d a JOIN d b ON a.item_id < b.item_id)
+SELECT i, j, round(CASE WHEN ti > 0 THEN 0.25 * ti / tu ELSE 0 END + CASE WHEN ei > 0 THEN 0.25 * ei / eu ELSE 0 END + CASE WHEN same THEN 0.1 ELSE 0 END, 9) AS affinity FROM p""")
+def affinity(spark, sf_dir):
+    """Every pair of benchmark items: long words as topics, capitalised words as entities, and groups by length."""
+    words = lambda p: F.array_distinct(F.regexp_extract_all("text", F.lit(p), F.lit(0)))
+    d = _bench(spark, sf_dir).select("item_id", words("[a-z]{9,}").alias("t"), F.array_distinct(F.transform(words("[A-Z][a-z]+"), F.lower)).alias("e"), (F.length("text") % 5).alias("g"))
+    score = similarity.affinity(F.col("a.t"), F.col("b.t"), F.col("a.e"), F.col("b.e"), F.col("a.g"), F.col("b.g"))
+    return similarity.all_pairs(d, "item_id").select(F.col("a.item_id").alias("i"), F.col("b.item_id").alias("j"), F.round(score, 9).alias("affinity"))
 
 
 @query(f"""WITH RECURSIVE {_BM25}, edges AS (SELECT i, j FROM pairs WHERE score / (SELECT max(score) FROM pairs) >= 0.22),
@@ -366,6 +341,18 @@ def page_signals(spark, sf_dir):
     return locate.page_signals(_paged(spark, sf_dir)).drop("reasons")
 
 
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS source_id, u.page, u.line FROM part, (SELECT unnest([{'page': 1, 'line': p_name || ' (size ' || p_size || ')'}, {'page': 1, 'line': 'by ' || p_brand}, {'page': 2, 'line': printf('%.2f', p_retailprice) || ' in all'}], recursive := true)) u""")
+def pdf_pages(spark, sf_dir):
+    """A PDF of two pages for each part, parsed and its lines placed on their pages."""
+    shown = lambda c: F.regexp_replace(c, r"([()\\\\])", r"\\$1")
+    page = lambda n, kid, body: F.concat(F.lit(f"{n} 0 obj\n<< /Type /Page /Parent 2 0 R /Contents {kid} 0 R >>\nendobj\n{kid} 0 obj\n<< /Length "), F.length(body).cast("string"), F.lit(" >>\nstream\n"), body, F.lit("\nendstream\nendobj\n"))
+    first = F.concat(F.lit("BT /F1 12 Tf 72 720 Td ("), shown(F.concat("p_name", F.lit(" (size "), F.col("p_size").cast("string"), F.lit(")"))), F.lit(") Tj 0 -14 Td [(by) -250 ("), shown(F.col("p_brand")), F.lit(")] TJ ET"))
+    second = F.concat(F.lit("BT /F1 12 Tf 72 720 Td ("), F.format_string("%.2f", "p_retailprice"), F.lit(" in all) Tj ET"))
+    body = F.concat(F.lit("%PDF-1.4\n1 0 obj\n<< /Type /Catalog /Pages 2 0 R >>\nendobj\n2 0 obj\n<< /Type /Pages /Kids [3 0 R 5 0 R] /Count 2 >>\nendobj\n"), page(3, 4, first), page(5, 6, second), F.lit("trailer\n<< /Root 1 0 R >>\n%%EOF\n"))
+    texts = read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("source_id"), office.rich_text(F.lit("part.pdf"), F.encode(body, "UTF-8")).alias("text"))
+    return locate.page_lines(texts).select("source_id", "page", "line")
+
+
 def _assets(rows, markup: str, raw):
     """Recovered assets of one generated document for each row; ``source_id`` comes with the rows."""
     return grids.assets(rows.select("source_id", F.lit(markup).alias("markup"), raw.alias("raw")))

@@ -1,4 +1,4 @@
-"""E-mail and office files to text, by the standard library, in Arrow batches."""
+"""E-mail, office files and PDF to text, by the standard library, in Arrow batches."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from .pdf import pdf_text
+
 HEADERS = ("From", "To", "Cc", "Date", "Subject")
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 A = "{http://schemas.openxmlformats.org/drawingml/2006/main}"
@@ -90,7 +92,7 @@ def xlsx_text(content: bytes) -> str:
     return "\n".join(lines)
 
 
-PARSERS = {".eml": email_text, ".docx": docx_text, ".pptx": pptx_text, ".xlsx": xlsx_text}
+PARSERS = {".eml": email_text, ".docx": docx_text, ".pptx": pptx_text, ".xlsx": xlsx_text, ".pdf": pdf_text}
 
 
 def parse(path: str, content: bytes) -> str | None:
@@ -100,7 +102,7 @@ def parse(path: str, content: bytes) -> str | None:
         return None
     try:
         return parser(bytes(content))
-    except (zipfile.BadZipFile, ET.ParseError, KeyError, ValueError, AttributeError, LookupError):
+    except (zipfile.BadZipFile, ET.ParseError, ValueError, AttributeError, LookupError, TypeError, RecursionError):
         return None
 
 

@@ -107,14 +107,21 @@ def test_all_pairs_queries_score_ids_with_gaps(spark, tmp_path):
     vectors = {1: [1.0, 0.0], 5: [0.0, 1.0], 9: [1.0, 1.0]}
     spark.createDataFrame(list(texts.items()), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([(k, v, "x") for k, v in vectors.items()], "vec_id long, embedding array<float>, label string").write.parquet(f"{tmp_path}/embeddings.parquet")
-    docs = [(1, "Ada met Bob", "en", "s1"), (4, "Bob met Cyd", "de", "s2"), (8, "none here", "en", "s3"), (15, "Dan ran", "fr", "s1"), (20, "Eve sat", None, "s9"), (21, None, "en", "s1")]
-    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {(r.i, r.j): r for r in queries.QUERIES["hybrid_similarity_all"](spark, str(tmp_path)).collect()}
+    got = {(r.i, r.j): r for r in queries.QUERIES["hybrid_similarity"](spark, str(tmp_path)).collect()}
     assert set(got) == {(i, j) for i in texts for j in texts if i < j}
     assert max(r.lexical for r in got.values()) == 1.0 and got[1, 9].lexical == 0 and got[1, 12].lexical > 0
     assert got[1, 9].cosine == pytest.approx(0.5**0.5) and got[1, 12].cosine == 0 and got[1, 9].fused == pytest.approx(0.5 * 0.5**0.5, abs=1e-6)
-    near = {(r.i, r.j): r.affinity for r in queries.QUERIES["affinity_all"](spark, str(tmp_path)).collect()}
-    assert near == {(1, 4): pytest.approx(0.25 / 3), (1, 8): 0.25, (1, 15): 0.1}
+
+
+def test_affinity_scores_every_pair(spark, tmp_path):
+    from claimlake import queries
+
+    texts = {1: "Ada met Bob at thelighthouse", 4: "Bob met Cyd at thelighthouse", 8: "none here", 15: "nothing there", 20: "Eve sat"}
+    spark.createDataFrame(list(texts.items()), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    near = {(r.i, r.j): r.affinity for r in queries.QUERIES["affinity"](spark, str(tmp_path)).collect()}
+    expected = {(i, j): 0.1 * (len(texts[i]) % 5 == len(texts[j]) % 5) for i in texts for j in texts if i < j}
+    expected[1, 4] += 0.25 / 1 + 0.25 / 3
+    assert near == pytest.approx(expected)
 
 
 def test_all_pairs_in_blocks_meet_once(spark):
