@@ -10,7 +10,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-RELATIONS = ("source_registry", "units", "clusters", "claim_assessments", "candidates", "approved", "audits", "enqueue", "assets", "asset_links")
+RELATIONS = ("source_registry", "units", "omissions", "enriched_units", "clusters", "claim_assessments", "candidates", "approved", "audits", "corpus_coverage", "enqueue", "assets", "asset_links")
 
 
 def relations(spark: SparkSession, root: str, run_id: str) -> dict[str, DataFrame]:

@@ -79,6 +79,11 @@ def text_hash(col: Column) -> Column:
     return F.sha2(F.encode(col, "UTF-8"), 256)
 
 
+def secret_id(col: Column) -> Column:
+    """A short name of a secret that can stand in a log."""
+    return F.substring(text_hash(col), 1, 12)
+
+
 def source_id(path: Column, content_sha256: Column) -> Column:
     return F.concat(F.lit("src-"), F.substring(T.slug(T.stem(path)), 1, 40), F.lit("-"), F.substring(content_sha256, 1, 8))
 

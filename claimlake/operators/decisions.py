@@ -105,6 +105,21 @@ def approve(candidates: DataFrame, audits: DataFrame) -> DataFrame:
     }).drop("audit_id", "verdict", "required_fixes", "findings", "correction")
 
 
+COVERAGE_VERDICTS = ("represented", "gaps", "misrepresented")  # a fixed value, from best to worst
+
+
+def judged_once(judged: DataFrame) -> DataFrame:
+    """One row of judgements by source: the worst verdict, and only what all sources have; a missing answer is ``gaps``."""
+    rank = F.coalesce(F.array_position(F.array(*map(F.lit, COVERAGE_VERDICTS)), F.col("verdict")), F.lit(0))
+    rank = F.when(rank == 0, 2).otherwise(rank)
+    every = lambda c: F.coalesce(F.every(F.coalesce(c, F.lit(False))), F.lit(True)).alias(c)
+    return judged.agg(
+        F.element_at(F.array(*map(F.lit, COVERAGE_VERDICTS)), F.coalesce(F.max(rank), F.lit(1)).cast("int")).alias("verdict"),
+        every("key_insights_captured"), every("definitions_captured"), every("fairly_represented"),
+        F.coalesce(F.sum(F.greatest(F.size("missing"), F.lit(0))), F.lit(0)).alias("n_missing"), F.count_if(F.col("verdict").isNull()).alias("sources_not_judged"), F.array().cast("array<string>").alias("notes"),
+    )
+
+
 def coverage_verdict(mechanical: DataFrame, judged: DataFrame) -> DataFrame:
     """The judge's row, but ``represented`` with a note where nothing is kept or nothing approved."""
     both = mechanical.crossJoin(F.broadcast(judged))  # one row each

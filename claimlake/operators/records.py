@@ -65,6 +65,18 @@ def pending(requests: DataFrame, responses: DataFrame, key: str = "call_id") ->
     return requests.join(responses.select(key).distinct(), key, "left_anti")
 
 
+def histogram(rows: DataFrame, column: str) -> DataFrame:
+    """value, n: how often each value of a column occurs."""
+    return rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def echoed(rows: DataFrame, answers: DataFrame, key: str, order: list[str], defaults: dict[str, Column]) -> DataFrame:
+    """Rows with the last answer that names their key; defaults where none does. Answers to unknown keys are ignored."""
+    last = answers.groupBy(key).agg(F.max_by(F.struct(*defaults), F.struct(*order)).alias("_e"))
+    joined = rows.join(last, key, "left")
+    return joined.withColumns({c: F.coalesce(F.col(f"_e.{c}"), d) for c, d in defaults.items()}).drop("_e")
+
+
 def ordered_distinct(rows: DataFrame, key: str, item: str, position: str) -> DataFrame:
     """key, items: distinct items by first position."""
     first = rows.groupBy(key, item).agg(F.min(position).alias("_p"))

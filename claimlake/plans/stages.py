@@ -60,6 +60,13 @@ class Run:
         make(sources).write.mode("append").partitionBy("source_id").parquet(self.path(name))
         return self.spark.read.parquet(self.path(name))
 
+    def envelope(self, rows: DataFrame, version: str, role: str, parents: list[str]) -> DataFrame:
+        """The rows with what every record says of its making; columns of these names are replaced."""
+        from ..functions.hashing import SCHEMA_VERSION
+
+        said = {"schema_version": SCHEMA_VERSION, "run_id": self.run_id, "created_at": self.created_at, "prompt_version": version, "model_role": role}
+        return rows.withColumns({k: F.lit(v) for k, v in said.items()} | {"parent_artifacts": F.array(*map(F.lit, parents))})
+
     def manifest(self, counts: dict[str, int], config: dict) -> DataFrame:
         """One row: counts and configuration; written last."""
         row = [(self.run_id, self.created_at, json.dumps(counts, sort_keys=True), json.dumps(config, sort_keys=True))]
@@ -68,6 +75,13 @@ class Run:
         return out
 
 
+def runs(stage: str, stop_after: str | None) -> bool:
+    """Whether a stage comes before the one to stop after, or is it; an unknown name is refused."""
+    if stop_after is not None and stop_after not in STAGES:
+        raise ValueError(f"unknown stage {stop_after!r}; one of {', '.join(STAGES)}")
+    return stop_after is None or STAGES.index(stage) <= STAGES.index(stop_after)
+
+
 def inputs_digest(inputs: list[DataFrame]) -> str:
     """Order-free digest of tables: counts, sums and exclusive ors of row hashes, by partial aggregation."""
     parts = []
