@@ -11,7 +11,8 @@ from pyspark.sql.window import Window
 
 from .functions import hashing as H
 from .functions import text as T
-from .operators import grids, integrity, locate, records, retention, similarity
+from .operators import decisions, grids, integrity, locate, records, retention, similarity
+from .plans import models
 from .sources import intake, office
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -528,3 +529,96 @@ def entity_surface_missing(spark, sf_dir):
     e = c.select("conv_id", F.explode(F.regexp_extract_all("text", F.lit("[A-Z][a-z]{3,}"), F.lit(0))).alias("s")).distinct()
     by = e.groupBy("conv_id").agg(F.collect_list("s").alias("ss")).join(_sources(spark, sf_dir).select(F.col("doc_id").alias("conv_id"), "text"), "conv_id", "left")
     return by.select("conv_id", F.size("ss").cast("long").alias("n_mentions"), F.size(F.filter("ss", lambda s: F.col("text").isNull() | (F.instr(F.col("text"), s) == 0))).cast("long").alias("n_missing"))
+
+
+@query("""SELECT event_type AS value, count(*) AS n FROM events GROUP BY event_type""")
+def status_histogram(spark, sf_dir):
+    return records.histogram(read(spark, sf_dir, "events"), "event_type")
+
+
+@query("""SELECT role, count(*) AS calls, CAST(coalesce(sum(length(text) // 4), 0) AS BIGINT) AS input_tokens, CAST(coalesce(sum(turn), 0) AS BIGINT) AS output_tokens,
+ CAST(coalesce(sum(CASE WHEN turn > 2 THEN turn END), 0) AS BIGINT) AS cache_read_tokens FROM conversations GROUP BY role""")
+def usage_totals(spark, sf_dir):
+    calls = read(spark, sf_dir, "conversations").select("role", T.approx_tokens(F.col("text")).alias("input_tokens"), F.col("turn").alias("output_tokens"), F.when(F.col("turn") > 2, F.col("turn")).alias("cache_read_tokens"))
+    return models.usage(calls, "role")
+
+
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS source_id, u.latex FROM part, (SELECT unnest([{'latex': 'x_{' || p_partkey || '}', 'shown': true}, {'latex': 'a_{' || p_partkey || '} + b', 'shown': p_size % 2 = 0}, {'latex': 'c^' || p_size || ' \leq d', 'shown': true}], recursive := true)) u WHERE u.shown""")
+def significant_formulas(spark, sf_dir):
+    """Of a displayed symbol, a sum and a relation, the sum goes unless it is displayed too."""
+    rows = read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("source_id"), F.col("p_partkey").alias("k"), F.col("p_size").alias("z"))
+    raw = F.concat(
+        F.lit("<p><math display='block' alttext='x_{"), "k", F.lit("}'><mi>x</mi></math> <math "), F.when(F.col("z") % 2 == 0, "display='block' ").otherwise(""), F.lit("alttext='a_{"), "k",
+        F.lit("} + b'><mi>a</mi></math> <math alttext='c^"), "z", F.lit(" \\leq d'><mi>c</mi></math></p>"),
+    )
+    return grids.significant_formulas(_assets(rows, "html", raw)).select("source_id", F.get_json_object("payload", "$.latex").alias("latex"))
+
+
+@query("""WITH p AS (SELECT CAST(l_orderkey AS VARCHAR) AS source_id, CAST(l_linenumber AS INTEGER) AS page, min(l_quantity) AS q FROM lineitem GROUP BY l_orderkey, l_linenumber
+ HAVING sum(CASE WHEN l_returnflag = 'R' THEN 2 ELSE 0 END) >= 2 OR sum(CASE WHEN l_quantity > 25 THEN 3 ELSE 1 END) >= 3 OR l_linenumber % 2 = 0)
+SELECT source_id, page FROM p WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE CAST(l.l_orderkey AS VARCHAR) = source_id AND l.l_linenumber = page AND l.l_quantity <= 10)""")
+def unread_pages(spark, sf_dir):
+    seen = read(spark, sf_dir, "lineitem").where("l_quantity <= 10").select(F.col("l_orderkey").cast("string").alias("source_id"), F.col("l_linenumber").cast("int").alias("page"))
+    return grids.unread_pages(locate.page_signals(_paged(spark, sf_dir)), seen).select("source_id", "page")
+
+
+@query("""WITH l AS (SELECT l_orderkey, l_partkey, l_returnflag, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_returnflag DESC) AS r FROM lineitem WHERE l_quantity > 25)
+SELECT o_orderkey AS unit_id, coalesce('part ' || l_partkey, '') AS enrichment_context, coalesce(l_returnflag, 'none') AS entities FROM orders LEFT JOIN l ON l_orderkey = o_orderkey AND r = 1""")
+def enrichment_echo(spark, sf_dir):
+    given = read(spark, sf_dir, "lineitem").where("l_quantity > 25").select(F.col("l_orderkey").alias("unit_id"), "l_linenumber", "l_partkey", F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("enrichment_context"), F.col("l_returnflag").alias("entities"))
+    units = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("unit_id"))
+    return records.echoed(units, given, "unit_id", ["l_linenumber", "l_partkey", "entities"], {"enrichment_context": F.lit(""), "entities": F.lit("none")})
+
+
+@query(_CELLS + """SELECT source_id, row, 1 AS col, bal AS value, 'Balance' AS column_headers, c_name AS row_headers FROM (SELECT source_id, CAST(k AS INTEGER) AS row, bal, c_name FROM f WHERE k <= 25)
+UNION ALL SELECT DISTINCT source_id, 99, 0, NULL, 'Name', '' FROM f""")
+def cell_lookup(spark, sf_dir):
+    """Balances by their row with both headers, and a row that no table has."""
+    flat = grids.cells(_tables(spark, sf_dir, "html"))
+    refs = flat.where("col = 1 AND NOT is_header").select("asset_id", "row", "col").unionByName(flat.select("asset_id", F.lit(99).alias("row"), F.lit(0).alias("col")).distinct())
+    found = grids.resolve_cells(refs, flat).join(flat.select("asset_id", "source_id").distinct(), "asset_id")
+    joined = lambda c: F.array_join(F.coalesce(c, F.array().cast("array<string>")), ",").alias(c)
+    return found.select("source_id", F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), "value", joined("column_headers"), joined("row_headers"))
+
+
+@query("""WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE 'order of ' || o_custkey END AS s, CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_orderstatus END AS g FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS source_id, CAST(o_orderkey AS BIGINT) AS raw_index, 'missing: ' || concat_ws(', ', CASE WHEN s IS NULL THEN 'statement' END, CASE WHEN g IS NULL THEN 'grounding' END) AS reason, coalesce(s, '') AS statement_prefix FROM o WHERE s IS NULL OR g IS NULL""")
+def unit_rejects(spark, sf_dir):
+    k = F.col("o_orderkey")
+    raw = read(spark, sf_dir, "orders").select(k.cast("string").alias("source_id"), k.cast("long").alias("raw_index"), F.when(k % 4 != 0, F.concat(F.lit("order of "), F.col("o_custkey").cast("string"))).alias("statement"), F.when(k % 6 != 0, F.col("o_orderstatus")).alias("grounding"))
+    return decisions.split_rejects(raw, ["statement", "grounding"], "statement")[1]
+
+
+@query("""WITH a AS (SELECT o_orderkey, o_orderkey % 3 = 0 AS cites, o_orderkey % 5 = 0 AS links, CASE o_orderkey % 4 WHEN 0 THEN 'pass' WHEN 1 THEN 'pass_with_label' WHEN 2 THEN 'defer' ELSE 'fix' END AS v FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS candidate_id, CASE WHEN (cites OR links) AND v IN ('pass', 'pass_with_label') THEN 'fix' ELSE v END AS verdict,
+ CASE WHEN v IN ('pass', 'pass_with_label') THEN concat_ws(';', CASE WHEN cites THEN 'mechanical check failed: citation_accuracy' END, CASE WHEN links THEN 'mechanical check failed: provenance_integrity' END) ELSE '' END AS findings FROM a""")
+def audit_escalation(spark, sf_dir):
+    k = F.col("o_orderkey")
+    result = lambda n: F.when(k % n == 0, "fail").otherwise("pass")
+    verdict = F.element_at(F.array(*map(F.lit, ("pass", "pass_with_label", "defer", "fix"))), (k % 4 + 1).cast("int"))
+    audits = read(spark, sf_dir, "orders").select(k.cast("string").alias("candidate_id"), verdict.alias("verdict"), F.array().cast("array<string>").alias("findings"), F.create_map(F.lit("provenance_integrity"), result(5), F.lit("citation_accuracy"), result(3)).alias("mechanical"))
+    return decisions.escalate(audits).select("candidate_id", "verdict", F.array_join("findings", ";").alias("findings"))
+
+
+@query("""SELECT CASE max(CASE quality WHEN 1 THEN 1 WHEN 3 THEN 3 ELSE 2 END) WHEN 1 THEN 'represented' WHEN 2 THEN 'gaps' ELSE 'misrepresented' END AS verdict, bool_and(coalesce(toxic = 0, false)) AS fairly_represented,
+ count(*) FILTER (quality IS NULL OR quality NOT IN (1, 2, 3)) AS sources_not_judged FROM labels""")
+def coverage_judged(spark, sf_dir):
+    verdict = F.when(F.col("quality") == 1, "represented").when(F.col("quality") == 2, "gaps").when(F.col("quality") == 3, "misrepresented")
+    fair = (F.col("toxic") == 0).alias("fairly_represented")
+    rows = read(spark, sf_dir, "labels").select(verdict.alias("verdict"), fair, F.lit(True).alias("key_insights_captured"), F.lit(True).alias("definitions_captured"), F.array().cast("array<string>").alias("missing"))
+    return decisions.judged_once(rows).select("verdict", "fairly_represented", "sources_not_judged")
+
+
+@query("""WITH a AS (SELECT o_orderkey, o_orderkey % 3 AS m, o_orderkey % 2 AS two, o_orderkey % 5 = 0 AS quoted FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS assessment_id, CASE WHEN m = 0 AND NOT quoted THEN 'insufficient_evidence' WHEN m = 0 THEN 'contradicts' ELSE 'supports' END AS coarse_stance,
+ CASE WHEN m = 1 AND two = 0 THEN 'convergent_dependent' WHEN m = 1 THEN 'convergent_independent' ELSE 'other' END AS relationship_subtype,
+ concat_ws(',', CASE WHEN m = 0 AND NOT quoted THEN 'contradiction_without_quote' END, CASE WHEN m = 1 AND two = 0 THEN 'independence_not_established' END) AS flags FROM a""")
+def assessment_corrections(spark, sf_dir):
+    k = F.col("o_orderkey")
+    quote = F.array(F.struct(F.lit("u").alias("unit_id"), F.when(k % 5 == 0, "quoted").otherwise("  ").alias("excerpt")))
+    rows = read(spark, sf_dir, "orders").select(
+        k.cast("string").alias("assessment_id"), F.when(k % 3 == 0, "contradicts").otherwise("supports").alias("coarse_stance"), F.when(k % 3 == 1, "convergent_independent").otherwise("other").alias("relationship_subtype"),
+        F.when(k % 2 == 0, F.array(F.lit("g1"))).otherwise(F.array(F.lit("g1"), F.lit("g2"))).alias("independent_evidence_groups"), quote.alias("contradiction_evidence"), F.array().cast("array<string>").alias("source_validity_flags"),
+    )
+    out = decisions.correct_assessments(rows)
+    return out.select("assessment_id", "coarse_stance", "relationship_subtype", F.array_join("source_validity_flags", ",").alias("flags"))
