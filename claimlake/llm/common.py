@@ -57,6 +57,10 @@ class Workspace:
         df.write.mode("overwrite").parquet(self.path(label))
         return self.load(df, label)
 
+    def save_few(self, df: DataFrame, label: str) -> DataFrame:
+        """save() in no more files than few_tasks()."""
+        return self.save(df.coalesce(few_tasks(self.spark)), label)
+
     def load(self, df: DataFrame, label: str) -> DataFrame:
         return self.spark.read.schema(df.schema).parquet(self.path(label))
 
@@ -77,6 +81,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def few_files(spark: SparkSession) -> int:
+    """Files for rows that are small beside what they were made from: one for each 8 shuffle partitions.
+
+    Without Hadoop's native library a local file system runs ``chmod`` three times for each file, and until such a child
+    has started its program it shares all of its executor's memory, which whoever adds up processes counts twice.
+    """
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+
+
+def few_tasks(spark: SparkSession) -> int:
+    """Tasks that make such rows without an exchange of their own: as many, but two for each core at least."""
+    return max(2 * spark.sparkContext.defaultParallelism, few_files(spark))
+
+
 def single_thread() -> None:
     """Tokenizer libraries start no threads of their own inside a task."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

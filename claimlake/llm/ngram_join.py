@@ -426,7 +426,7 @@ def components(work: common.Workspace, edges: DataFrame, label: str) -> DataFram
         rows = [(x, find(x)) for x in list(parent)]
         yield pa.RecordBatch.from_arrays([pa.array([x for x, r in rows if x != r], pa.int64()), pa.array([r for x, r in rows if x != r], pa.int64())], names=["v", "root"])
 
-    e = work.save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), f"{label}_0")
+    e = work.save_few(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), f"{label}_0")
     seen, k = mark(e), 0
     if seen[0] <= SMALL_EDGES:  # a measured, fixed bound: one task joins them up
         return work.save(e.coalesce(1).mapInArrow(joined_up, "v long, root long"), f"{label}_roots")
@@ -436,7 +436,7 @@ def components(work: common.Workspace, edges: DataFrame, label: str) -> DataFram
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v")
         small_low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s")).select("s.u", "s.v").where("u > v").distinct()
-        after = work.save(small, f"{label}_{k + 1}")
+        after = work.save_few(small, f"{label}_{k + 1}")
         now = mark(after)
         work.drop(f"{label}_{k}")
         e, k = after, k + 1
@@ -574,14 +574,14 @@ def _relabelled(work: common.Workspace, comp: DataFrame, links: DataFrame, label
     """comp (cls, comp) after joining the components of linked classes."""
     ends = links.join(comp.select(F.col("cls").alias("a"), F.col("comp").alias("ca")), "a").join(comp.select(F.col("cls").alias("b"), F.col("comp").alias("cb")), "b")
     roots = components(work, ends.where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")), label)
-    return work.save(comp.join(roots.withColumnRenamed("v", "comp"), "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp")), f"{label}_comp")
+    return work.save_few(comp.join(roots.withColumnRenamed("v", "comp"), "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp")), f"{label}_comp")
 
 
 def _connect(work: common.Workspace, active: DataFrame, buckets: int) -> DataFrame:
     """(cls, comp) of every active class."""
     comp = active.select("cls", F.col("cls").alias("comp"))
-    comp = _relabelled(work, comp, work.save(_near_links(active), "near"), "cc")
-    left = work.save(_open_entries(active, comp, buckets), "open")
+    comp = _relabelled(work, comp, work.save_few(_near_links(active), "near"), "cc")
+    left = work.save_few(_open_entries(active, comp, buckets), "open")
     # Lists with the same members give the same pairs: the first in rare-first order stands for all of them.
     mark = F.xxhash64("cls")
     lists = left.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(mark).alias("x"), F.sum(mark.bitwiseAND(F.lit(0x7FFFFFFF))).alias("s"), F.min("pos").alias("p"))
@@ -602,14 +602,14 @@ def linked_sets(docs: DataFrame, work: common.Workspace) -> DataFrame:
     """doc_id, n_shingles, component_id, cls, comp (root class), k1, k2 of every row."""
     spark = docs.sparkSession
     common.bounded_batches(spark)
-    rows = work.save(document_sets(docs), "sets")
+    rows = work.save(document_sets(docs).repartition(common.few_files(spark)), "sets")
     sets = rows.where("token IS NULL").drop("token", "times")
     known = common_shingles(rows.where("token IS NOT NULL"))
     total = sets.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_ENTRIES))
-    active = work.save(_active(_shared(_entries(docs, buckets, known), buckets, known)), "active")
+    active = work.save_few(_active(_shared(_entries(docs, buckets, known), buckets, known)), "active")
     work.free_shuffles()
-    return _name(sets, _connect(work, active, buckets))
+    return _name(sets, _connect(work, active, buckets)).coalesce(common.few_tasks(spark))
 
 
 def link_documents(docs: DataFrame) -> DataFrame:

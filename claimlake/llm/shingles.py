@@ -9,8 +9,8 @@ import numpy as np
 from . import common
 
 WIDTH = 5
-#: Text bytes hashed at a time (a longer word or document is taken whole).
-PIECE = 4 << 20
+#: Text bytes hashed at a time (a longer document is taken whole); a worker's peak is some 40 bytes for each of them.
+PIECE = 1 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -19,14 +19,18 @@ _powers = np.ones(1, dtype=np.uint64)
 _inverse = np.ones(1, dtype=np.uint64)
 
 
-def _grow(n: int) -> None:
-    """Powers of the base and of its inverse modulo 2**64."""
+def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """n or more powers of the base and of its inverse modulo 2**64; those of a text over 2 * PIECE are not kept."""
     global _powers, _inverse
-    if len(_powers) < n:
-        n = max(n, 1 << 16)
-        _powers, _inverse = np.full(n, _BASE, dtype=np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
-        _powers[0] = _inverse[0] = 1
-        _powers, _inverse = np.cumprod(_powers), np.cumprod(_inverse)
+    if len(_powers) >= n:
+        return _powers, _inverse
+    n = max(n, 1 << 16)
+    powers, inverse = np.full(n, _BASE, dtype=np.uint64), np.full(n, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
+    powers[0] = inverse[0] = 1
+    powers, inverse = np.cumprod(powers, out=powers), np.cumprod(inverse, out=inverse)
+    if n <= 2 * PIECE:
+        _powers, _inverse = powers, inverse
+    return powers, inverse
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -46,9 +50,11 @@ def _hash_words(plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = bounds[0::2], bounds[1::2]
     if not len(starts):
         return starts, np.zeros(0, dtype=np.uint64)
-    _grow(len(plain))
-    total = np.concatenate([[_U(0)], np.cumsum(_BYTES[plain] * _powers[: len(plain)])])
-    return starts, mix((total[ends] - total[starts]) * _inverse[starts] + (ends - starts).astype(np.uint64))
+    powers, inverse = _tables(len(plain))
+    total = np.zeros(len(plain) + 1, dtype=np.uint64)
+    np.multiply(_BYTES[plain], powers[: len(plain)], out=total[1:])
+    np.cumsum(total[1:], out=total[1:])
+    return starts, mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
 def shingle_sets(texts: list[bytes | None], width: int = WIDTH) -> Iterator[np.ndarray]:

@@ -1,4 +1,5 @@
 import hashlib
+import pathlib
 import random
 import re
 import zlib
@@ -250,6 +251,50 @@ def test_ngram_join_very_long_text_and_its_near_copy(spark):
     assert got == {0: (119_996, 0), 1: (1, 1), 2: (119_996, 0)}
 
 
+def test_shingles_of_many_texts_need_little_memory():
+    import tracemalloc
+
+    from claimlake.llm import shingles
+
+    rng = random.Random(8)
+    vocab = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(vocab, k=300)).encode() for _ in range(6000)]
+    long = b" ".join(texts[:4000])  # taken whole: its tables must not stay
+    alone = [next(shingles.shingle_sets([t])) for t in texts[::500]]
+    assert sum(map(len, texts)) > 8 << 20 and len(next(shingles.shingle_sets([long]))) > 1_000_000
+    shingles._powers = shingles._inverse = shingles._powers[:1].copy()
+    tracemalloc.start()
+    found = [s for i, s in enumerate(shingles.shingle_sets(texts)) if i % 500 == 0]
+    peak = tracemalloc.get_traced_memory()[1]
+    next(shingles.shingle_sets([long]))
+    kept = len(shingles._powers)
+    tracemalloc.stop()
+    assert peak < 80 << 20 and kept <= 2 * shingles.PIECE
+    assert all(np.array_equal(a, b) for a, b in zip(found, alone, strict=True))
+
+
+def part_files(path):
+    return len([x for x in pathlib.Path(path.removeprefix("file:")).iterdir() if x.name.startswith("part-")])
+
+
+def test_ngram_join_writes_few_files(spark):
+    from claimlake.llm import common, ngram_join
+
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        work = common.Workspace(spark, "few")
+        texts = near_copies(3) + ODD
+        out = ngram_join.linked_sets(docs(spark, texts).repartition(40), work)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()} == dict(enumerate(brute_components(texts)))
+        assert out.rdd.getNumPartitions() <= 8
+        for label in ("sets", "active", "near", "cc_0", "cc_comp", "open", "last_comp"):
+            assert 0 < part_files(work.path(label)) <= 8, label
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_keep_one(spark):
     from claimlake.llm import ngram_join
 
