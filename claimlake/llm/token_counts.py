@@ -135,14 +135,17 @@ def count_tokens(docs: DataFrame, model_path: str, cache_path: str, limit: int =
         .where(F.unhex(F.sha2("_text", 256)) == F.col("content_sha256"))
         .select("content_sha256", "_text")
     )
-    new = encode_counts(picked, model_path).select("content_sha256", F.lit(version).alias("version_sha256"), "n_tokens")
+    # Counts move once more, so that the cache does not get a file for each task that encodes.
+    new = encode_counts(picked, model_path).repartition(common.few_files(spark)).select("content_sha256", F.lit(version).alias("version_sha256"), "n_tokens")
     new.write.mode("append").parquet(cache_path)
     counts = read_cache(spark, cache_path).where(F.col("version_sha256") == version).groupBy("content_sha256").agg(F.max("n_tokens").alias("n_tokens"))
-    return keyed.join(counts, "content_sha256").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    found = keyed.join(counts, "content_sha256").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return found.coalesce(common.few_tasks(spark))
 
 
 def read_cache(spark, cache_path: str) -> DataFrame:
     path = spark._jvm.org.apache.hadoop.fs.Path(cache_path)
     if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], CACHE_SCHEMA)
+        # Without rows from Python, for which each executor would start workers that it keeps.
+        return spark.range(0).select(*(F.lit(None).cast(kind).alias(name) for name, kind in map(str.split, CACHE_SCHEMA.split(", "))))
     return spark.read.schema(CACHE_SCHEMA).parquet(cache_path)

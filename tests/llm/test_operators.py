@@ -338,6 +338,34 @@ def test_token_counts_encode_repeated_rows_once(spark, tmp_path):
     assert [r.over_limit for r in got if r.doc_id == 2] == [True]
 
 
+def test_token_counts_write_few_files(spark, tmp_path):
+    import sentencepiece
+
+    from claimlake.llm import queries, token_counts
+
+    path, cache = queries.tokenizer_path("piece_bpe_32k.model"), f"file://{tmp_path}/cache"
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = [f"text {i} with {i % 7} words" for i in range(300)] + TOKEN_TEXTS
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = token_counts.count_tokens(docs(spark, texts).repartition(40), path, cache)
+        assert {r.doc_id: r.n_tokens for r in out.collect()} == {i: len(model.encode(t or "")) for i, t in enumerate(texts)}
+        assert out.rdd.getNumPartitions() <= 8 and 0 < part_files(cache) <= 8
+        assert spark.read.parquet(cache).count() == len({t or "" for t in texts})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_token_counts_without_cache_start_no_other_workers(spark, tmp_path):
+    from claimlake.llm import token_counts
+
+    empty = token_counts.read_cache(spark, f"file://{tmp_path}/none")
+    assert empty.collect() == [] and empty.dtypes == [("content_sha256", "binary"), ("version_sha256", "string"), ("n_tokens", "bigint")]
+    assert "ExistingRDD" not in empty._jdf.queryExecution().toString()
+
+
 def test_simple8b_round_trip():
     from claimlake.llm import token_files as t
 
