@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import html as _html
+import re
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -79,6 +81,17 @@ def unescape(raw: pd.Series) -> pd.Series:
     return raw.map(lambda x: None if x is None else _html.unescape(x))
 
 
+#: A character reference with its semicolon.
+REFERENCE = re.compile(r"&(?:#\d+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);")
+
+
+@F.pandas_udf(StringType())
+def unescape_ended(raw: pd.Series) -> pd.Series:
+    """Character references that end in a semicolon; one that is cut short (``&amp``) stays as it is."""
+    said = lambda m: _html.unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html5 else m[0]
+    return raw.map(lambda x: None if x is None else REFERENCE.sub(said, x))
+
+
 def html_markup_removed(raw: Column) -> Column:
     """HTML to text with entities still in place: order matters, scripts go first."""
     out = F.regexp_replace(raw, r"(?is)<(script|style)\b.*?</\1>", " ")
@@ -93,8 +106,9 @@ def tidy_lines(text: Column) -> Column:
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
-def html_text(raw: Column) -> Column:
-    return tidy_lines(unescape(html_markup_removed(raw)))
+def html_text(raw: Column, ended_only: bool = False) -> Column:
+    """Text of HTML; ``ended_only``: references without a semicolon are no references."""
+    return tidy_lines((unescape_ended if ended_only else unescape)(html_markup_removed(raw)))
 
 
 def image_text(path: Column) -> Column:

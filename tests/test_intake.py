@@ -1,4 +1,5 @@
 import io
+import tempfile
 import zipfile
 from email.message import EmailMessage
 
@@ -23,6 +24,24 @@ def test_registry_and_quarantine(spark):
     assert rows["pic.png"].text.startswith("[[IMAGE pic.png]]")
 
 
+def test_references_without_a_semicolon(spark):
+    """``html_normalize`` leaves them, as its SQL does; files are read as browsers read them."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from claimlake import queries
+
+    cut = "<h1>a &amp;&amp; b&amp</h1><p>&am &copy 1 &middot; &copy;&quot;x&quot; &ampcopy;</p>&amp"
+    with tempfile.TemporaryDirectory() as d:
+        spark.createDataFrame([(1, "u", cut)], "page_id long, url string, html string").write.parquet(f"{d}/pages.parquet")
+        got = [tuple(r) for r in queries.html_normalize(spark, d).collect()]
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW pages AS SELECT * FROM '{d}/pages.parquet/*.parquet'")
+        assert got == con.execute(queries.ORACLES["html_normalize"]).fetchall()
+    row = spark.createDataFrame([(cut,)], "h string").select(intake.html_text(F.col("h")).alias("all"), intake.html_text(F.col("h"), ended_only=True).alias("ended")).first()
+    assert row.all == 'a && b&\n&am © 1 · ©"x" &copy;\n&' and row.ended == 'a && b&amp\n&am &copy 1 · ©"x" &ampcopy;\n&amp'
+
+
 def test_same_source_twice_is_refused_but_same_name_is_not(spark):
     reg = intake.ingest(files(spark, [("/a/n.md", b"x"), ("/b/n.md", b"x"), ("/c/n.md", b"y")]), "r", "t")
     assert intake.duplicate_sources(reg).count() == 1
