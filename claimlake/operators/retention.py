@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,17 +50,92 @@ def load_cues(path: str) -> dict[str, tuple[str, ...]]:
         return {x["label"]: tuple(x.get("cues", ())) for x in json.load(f).get("protected", ())}
 
 
+# What matches an ASCII letter or a kappa of a cue without regard to case but is not lowered to it.
+ODD_CASES = ("\u0130\u0131\u017f\u212a\u03f0", "iisk\u03ba")
+
+
+def folded(statement):
+    """Lower case as patterns without regard to case see it, so plain searches miss nothing that they find."""
+    return F.lower(F.translate(statement, *ODD_CASES))
+
+
+def needed(pattern: str) -> list[str]:
+    """Folded texts one of which stands in whatever matches a cue; empty where none is certain.
+
+    The longest run of plain characters outside groups, or else the alternatives of a group of plain words.
+    """
+    runs, groups, run, i = [], [], "", 0
+    if "(?" in pattern or any(ord(c) > 127 and c not in "ακ" for c in pattern):
+        return []
+    while i < len(pattern):
+        c = pattern[i]
+        size, lit, group = 1, c, None
+        if c == "\\":
+            size, lit = 2, pattern[i + 1 : i + 2]
+            if lit in "bBdDsSwW":
+                lit = ""
+            elif lit.isalnum():
+                return []
+        elif c == "(":
+            depth, j = 1, i + 1
+            while j < len(pattern) and depth:
+                if pattern[j] in "[\\":  # too much for this reading
+                    return []
+                depth += (pattern[j] == "(") - (pattern[j] == ")")
+                j += 1
+            group, size, lit = pattern[i + 1 : j - 1], j - i, ""
+        elif c == "[" and re.match(r"\[[^\[\]\\&]+\]", pattern[i:]):
+            size, lit = pattern.index("]", i) + 1 - i, ""
+        elif c in "|[]{}?*+^$":
+            return []
+        elif c == ".":
+            lit = ""
+        i += size
+        optional = repeated = False
+        if i < len(pattern) and pattern[i] in "?*+{":
+            optional, repeated = pattern[i] in "?*{", True
+            i = pattern.find("}", i) + 1 if pattern[i] == "{" else i + 1
+            if i < len(pattern) and pattern[i] in "?+":
+                i += 1
+        if group is not None and not optional and all(w and all(x.isalnum() or x == " " for x in w) for w in group.split("|")):
+            groups.append([w.lower() for w in group.split("|")])
+        if lit and not optional:
+            run += lit
+        if not lit or repeated:
+            runs.append(run)
+            run = ""
+    best = max([*runs, run], key=len).lower()
+    alternatives = max(groups, key=lambda g: min(map(len, g)), default=[])
+    if alternatives and min(map(len, alternatives)) > max(2, len(best)):
+        return alternatives
+    return [best] if best else []
+
+
+def _first_cue(statement, low, patterns):
+    """The first cue that matches; a pattern is tried only where a text that it needs stands."""
+    found = []
+    for p in patterns:
+        may = None
+        for text in needed(p):
+            here = F.contains(low, F.lit(text))
+            may = here if may is None else may | here
+        hit = statement.rlike(f"(?iU){p}")
+        found.append(F.when(hit if may is None else may & hit, F.lit(p)))
+    return F.coalesce(*found)
+
+
 def protections(statement, cues: dict[str, tuple[str, ...]] = CUES):
-    """Array of (label, cue): for each kind the first cue that matches, kinds in order.
+    """Array of (label, cue): for each kind the first cue that matches, kinds in order."""
+    hits = F.transform(F.array(folded(statement)), lambda low: F.array(*[F.struct(F.lit(label).alias("label"), _first_cue(statement, low, patterns).alias("cue")) for label, patterns in cues.items()]))
+    return F.filter(F.get(hits, F.lit(0)), lambda h: h["cue"].isNotNull())
+
+
+def hits(rows: DataFrame, statement: str, cues: dict[str, tuple[str, ...]] = CUES) -> DataFrame:
+    """Each row with each of its protections as ``h`` (label, cue); rows without one go.
 
-    One pattern of all cues of a kind decides whether any matches; only then are they tried in order.
+    The outer form, as for the other Spark adds a filter on the array and makes it twice.
     """
-    hits = []
-    for label, patterns in cues.items():
-        any_of = "(?iU)" + "|".join(f"(?:{p})" for p in patterns)
-        cue = F.coalesce(*[F.when(statement.rlike(f"(?iU){p}"), F.lit(p)) for p in patterns])
-        hits.append(F.struct(F.lit(label).alias("label"), F.when(statement.rlike(any_of), cue).alias("cue")))
-    return F.filter(F.array(*hits), lambda h: h["cue"].isNotNull())
+    return rows.select("*", F.explode_outer(protections(F.col(statement), cues)).alias("h")).where("h IS NOT NULL")
 
 
 def annotate(units: DataFrame, cues: dict[str, tuple[str, ...]] | None = CUES, statement: str = "canonical_statement") -> DataFrame:

@@ -127,3 +127,25 @@ def test_affinity_scores_every_pair(spark, tmp_path):
 def test_all_pairs_in_blocks_meet_once(spark):
     got = [(r.a.id, r.b.id) for r in similarity.all_pairs(spark.range(0, 60, 3), "id", 4).collect()]
     assert sorted(got) == [(i, j) for i in range(0, 60, 3) for j in range(i + 3, 60, 3)]
+
+
+def test_a_plain_search_misses_no_cue(spark):
+    chars = spark.range(0x20000).where("id NOT BETWEEN 55296 AND 57343").selectExpr("decode(unhex(lpad(hex(id), 8, '0')), 'utf-32') AS c").where(F.col("c").rlike("^(?iU)[a-zακ]$"))
+    for x in "abcdefghijklmnopqrstuvwxyzακ":
+        same = chars.where(F.col("c").rlike(f"^(?iU){x}$"))
+        found = F.contains(retention.folded(F.col("c")), F.lit(x))
+        assert same.where(found).count() >= 2 and same.where(~found).count() == 0
+    for pattern, texts in {r"\b(cue|excludes)\b\s*[.:]": ["cue", "excludes"], r"\bresolve[sd]?\b": ["resolve"], r"ab?c+de": ["de"], r"a|b": [], r"\x41b": [], "(?x) a b": [], r"(a|b)?c": ["c"], r"x{2}yé": [], r"a\.b*": ["a."], r"[^a]": []}.items():
+        assert retention.needed(pattern) == texts, pattern
+
+
+def test_cues_are_those_of_the_patterns_alone(spark):
+    """And each pattern is in the plan once; twice, a filter tries all of them a second time."""
+    rng, words = random.Random(3), "IS İS Is the The TERM for κ Κ ϰ 3.5 7 % = muſt MUST not requıred aſsumes cue : . excludes, Resolved ord order step 4 İn code ıs a now é".split(" ")
+    rows = spark.createDataFrame([(i, " ".join(rng.choices(words, k=6))) for i in range(400)] + [(400, ""), (401, None)], "k int, line string")
+    slow = F.filter(F.array(*[F.struct(F.lit(n).alias("label"), F.coalesce(*[F.when(F.col("line").rlike(f"(?iU){p}"), F.lit(p)) for p in ps]).alias("cue")) for n, ps in retention.CUES.items()]), lambda h: h["cue"].isNotNull())
+    key = lambda df: sorted((r.k, r.h.label, r.h.cue) for r in df.collect())
+    want = key(rows.select("k", F.explode(slow).alias("h")))
+    found = retention.hits(rows, "line")
+    assert len(want) > 300 and key(found) == want
+    assert found._jdf.queryExecution().executedPlan().toString().count("(?iU)\\bweighted by") == 1
